@@ -116,11 +116,11 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     """
     counts = _score_counts(df, label, score)
     curve = running_totals(counts, [F.desc("threshold")], ["pos", "neg"])
-    totals = counts.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return curve.join(F.broadcast(totals)).select(  # one row
+    all_pos, all_neg = curve.agg(F.sum("pos"), F.sum("neg")).first()
+    return curve.select(
         "threshold",
-        F.try_divide(F.col("cum_neg"), F.col("all_neg")).alias("fpr"),
-        F.try_divide(F.col("cum_pos"), F.col("all_pos")).alias("tpr"),
+        F.try_divide(F.col("cum_neg"), F.lit(all_neg)).alias("fpr"),
+        F.try_divide(F.col("cum_pos"), F.lit(all_pos)).alias("tpr"),
     )
 
 

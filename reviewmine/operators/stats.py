@@ -41,14 +41,11 @@ def extreme_texts(df: DataFrame, text: str, key: str) -> DataFrame:
 def extreme_ties(df: DataFrame, text: str) -> DataFrame:
     """All rows whose text has the largest or the smallest length."""
     ends = length_range(df, text)
+    longest = ends.select("max_length").scalar()
+    shortest = ends.select("min_length").scalar()
     measured = df.withColumn("length", F.length(text).cast("bigint"))
-    return measured.join(  # one row of two numbers
-        F.broadcast(ends),
-        (F.col("length") == F.col("max_length")) | (F.col("length") == F.col("min_length")),
-    ).select(
-        *df.columns, "length",
-        F.when(F.col("length") == F.col("max_length"), "longest").otherwise("shortest").alias("which"),
-    )
+    which = F.when(F.col("length") == longest, "longest").when(F.col("length") == shortest, "shortest")
+    return measured.withColumn("which", which).where(F.col("which").isNotNull())
 
 
 def rating_distribution(df: DataFrame, rating: str, levels: Sequence[int] | None = None) -> DataFrame:

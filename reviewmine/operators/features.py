@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
-    CountVectorizer,
     CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
@@ -26,8 +26,9 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions.stopwords import ENGLISH
@@ -46,27 +47,30 @@ def document_frequency(df: DataFrame, tokens: str, out: str = "term") -> DataFra
     return counts.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)))
 
 
-def term_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
-    """Occurrences of each term in each text (key unique)."""
-    return df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(
-        F.count("*").alias("tf")
-    )
-
-
 def vocabulary(
-    df: DataFrame, key: str, tokens: str, size: int | None = 5000,
-    min_df: int = 1, max_df: float = 1.0,
+    df: DataFrame, tokens: str, size: int | None = 5000, min_df: int = 1, max_df: float = 1.0
 ) -> DataFrame:
-    """Terms with corpus count, document count, smooth idf and index.
+    """Terms with corpus count, text count and smooth idf.
 
     Terms in fewer than ``min_df`` texts or in more than the share ``max_df`` are
     left out; of the rest the ``size`` most frequent stay, ties by spelling. The
     smooth idf is ln((1 + n) / (1 + df)) + 1. ``size`` bounds what a model
-    carries; None keeps all terms and no index.
+    carries; None keeps all terms.
+
+    Both counts come from one explode, so only one partial count per term and
+    task is shuffled.
     """
     n = df.agg(F.count("*").alias("n")).scalar()
-    counts = term_counts(df, key, tokens).groupBy("term").agg(
-        F.sum("tf").alias("tf"), F.count("*").alias("df")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    marks = F.concat(
+        F.transform(tokens, lambda t: F.struct(t.alias("term"), one.alias("tf"), zero.alias("df"))),
+        F.transform(
+            F.array_distinct(tokens),
+            lambda t: F.struct(t.alias("term"), zero.alias("tf"), one.alias("df")),
+        ),
+    )
+    counts = df.select(F.inline(marks)).groupBy("term").agg(
+        F.sum("tf").alias("tf"), F.sum("df").alias("df")
     )
     kept = counts.where((F.col("df") >= min_df) & (F.col("df") <= n * max_df)).withColumn(
         "idf", F.log((1 + n) / (1 + F.col("df"))) + 1
@@ -80,16 +84,21 @@ def tfidf_terms(
     df: DataFrame, key: str, tokens: str, size: int | None = 5000,
     min_df: int = 1, max_df: float = 1.0,
 ) -> DataFrame:
-    """(key, term, tf, weight): tf times smooth idf, each text scaled to length 1."""
-    terms = vocabulary(df, key, tokens, size, min_df, max_df).select("term", "idf")
-    weighted = lookup_join(
-        term_counts(df, key, tokens), terms, ["term"], how="inner", salt_by=[key]
-    ).withColumn("_raw", F.col("tf") * F.col("idf"))
-    # The norm is an aggregate per text joined back on the key both sides are grouped by.
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return weighted.join(norms, key).select(
-        key, "term", "tf", (F.col("_raw") / F.col("_norm")).alias("weight")
+    """(key, term, tf, weight): tf times smooth idf, each text scaled to length 1.
+
+    The texts are placed by key once; counting, weighting and scaling all keep
+    that placement, so the exploded terms are never shuffled.
+    """
+    terms = vocabulary(df, tokens, size, min_df, max_df).select("term", "idf")
+    placed = df.select(key, F.col(tokens).alias("_tokens")).repartition(F.col(key))
+    counts = placed.select(key, F.explode("_tokens").alias("term")).groupBy(key, "term").agg(
+        F.count("*").alias("tf")
+    )
+    weighted = lookup_join(counts, terms, ["term"], how="inner", salt_by=[key]).withColumn(
+        "_raw", F.col("tf") * F.col("idf")
     )
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", "tf", (F.col("_raw") / norm).alias("weight"))
 
 
 # ---- vectors for models ----------------------------------------------------------------
@@ -101,7 +110,7 @@ def word_tokenizer(text: str, out: str = "words") -> RegexTokenizer:
 
 
 def fit_vectorizer(
-    df: DataFrame, key: str, text: str, size: int = 5000, min_df: int = 1, max_df: float = 1.0,
+    df: DataFrame, text: str, size: int = 5000, min_df: int = 1, max_df: float = 1.0,
     stopwords: Sequence[str] | None = None, tfidf: bool = True, out: str = "features",
 ) -> tuple[PipelineModel, list[str]]:
     """Count or TF-IDF vectorizer as a fitted pipeline, with its vocabulary.
@@ -118,11 +127,10 @@ def fit_vectorizer(
         words = X.remove_stopwords(words, stopwords)
         stages.append(StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=list(stopwords)))
     source = "_kept" if stopwords else "_words"
-    terms = vocabulary(df.select(key, words.alias("_w")), key, "_w", size, min_df, max_df)
+    terms = vocabulary(df.select(words.alias("_w")), "_w", size, min_df, max_df)
     rows = terms.select("term", "idf").collect()  # at most ``size`` rows
     if not rows:
         raise ValueError("no term is left; lower min_df or raise max_df")
-    spark = df.sparkSession
     names = [r["term"] for r in rows]
     counts_out = "_counts" if tfidf else out
     model = CountVectorizerModel.from_vocabulary(names, inputCol=source, outputCol=counts_out)
@@ -184,10 +192,8 @@ def truncated_svd(vectors: DataFrame, features: str, terms: Sequence[str], k: in
     rows = MLUtils.convertVectorColumnsFromML(vectors.select(features), features)
     svd = RowMatrix(rows).computeSVD(k, computeU=False)
     v = svd.V.toArray()
-    for j in range(v.shape[1]):
-        top = max(range(v.shape[0]), key=lambda i: abs(v[i, j]))
-        if v[top, j] < 0:
-            v[:, j] *= -1
+    tops = np.abs(v).argmax(axis=0)
+    v = v * np.sign(v[tops, np.arange(v.shape[1])])
     spark = vectors.sparkSession
     table = spark.createDataFrame(
         [(t, [float(x) for x in v[i]]) for i, t in enumerate(terms)], "term string, v array<double>"

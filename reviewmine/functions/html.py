@@ -55,16 +55,22 @@ def _numeric_reference(piece: Column) -> Column:
     ).otherwise(F.concat(F.lit("&#"), piece))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
-    out = text
+    named = text
     for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    pieces = F.split(out, "&#")
-    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), _numeric_reference)
-    out = F.when(
-        F.contains(out, F.lit("&#")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
-    ).otherwise(out)
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+        named = F.replace(named, F.lit(name), F.lit(char))
+
+    def join_pieces(pieces: Column) -> Column:
+        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _numeric_reference)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+
+    numeric = let(F.split(named, "&#"), join_pieces)
+    return F.replace(numeric, F.lit("&amp;"), F.lit("&"))
 
 
 def strip_tags(html: Column) -> Column:
@@ -73,9 +79,13 @@ def strip_tags(html: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Tags out, references decoded, blanks collapsed; NULL stays NULL."""
-    text = strip_tags(html)
-    text = F.when(F.contains(text, F.lit("&")), decode_entities(text)).otherwise(text)
-    return F.when(html.isNotNull(), clean_text(text))
+    return let(
+        strip_tags(html),
+        lambda t: F.when(
+            t.isNotNull(),
+            clean_text(F.when(F.contains(t, F.lit("&")), decode_entities(t)).otherwise(t)),
+        ),
+    )
 
 
 def has_element(html: Column, tag: str, marker: str = "") -> Column:
@@ -99,16 +109,21 @@ def _balanced(rest: Column, tag: str) -> Column:
         )
 
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-    kept = F.aggregate(pieces, start, step)["kept"]
-    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+    return let(
+        pieces,
+        lambda ps: F.array_join(F.slice(ps, F.lit(1), F.aggregate(ps, start, step)["kept"]), ""),
+    )
 
 
 def inner_html(html: Column, tag: str, marker: str = "") -> Column:
     """Content of the first such element, NULL where there is none."""
     opening = _opening(tag, marker)
-    return F.when(
-        has_element(html, tag, marker),
-        _balanced(F.regexp_extract(html, rf"(?s){opening}(.*)$", 1), tag),
+    return let(
+        html,
+        lambda h: F.when(
+            has_element(h, tag, marker),
+            _balanced(F.regexp_extract(h, rf"(?s){opening}(.*)$", 1), tag),
+        ),
     )
 
 
@@ -132,6 +147,8 @@ def element_text(html: Column, tag: str, marker: str = "", default: str | None =
 
 def attribute(html: Column, tag: str, name: str, marker: str = "") -> Column:
     """Attribute of the first such element, NULL where it is missing."""
-    opening = F.regexp_extract(html, f"({_opening(tag, marker)})", 1)
     pattern = rf"\s{name}\s*=\s*[\"']([^\"']*)[\"']"
-    return F.when(opening.rlike(pattern), F.regexp_extract(opening, pattern, 1))
+    return let(
+        F.regexp_extract(html, f"({_opening(tag, marker)})", 1),
+        lambda opening: F.when(opening.rlike(pattern), F.regexp_extract(opening, pattern, 1)),
+    )

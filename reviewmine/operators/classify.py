@@ -162,7 +162,7 @@ def search_lr(df: DataFrame, regs=(0.01, 0.1), folds: int = 5, max_iter: int = 1
         parallelism=parallelism,
     ).fit(df)
     table = [
-        {**{p.name: v for p, v in setting.items()}, "accuracy": metric}
+        {**{p.name: v for p, v in setting.items()}, "accuracy": float(metric)}
         for setting, metric in zip(grid, fitted.avgMetrics)
     ]
     return fitted.bestModel, table

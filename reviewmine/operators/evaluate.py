@@ -46,7 +46,7 @@ def confusion_matrix(
     Naming the classes saves the pass that looks them up.
     """
     grouped = df.groupBy(F.col(label).alias("actual")).pivot(prediction, classes)
-    return grouped.agg(F.count("*")).fillna(0)
+    return grouped.agg(F.count(F.lit(1))).fillna(0)
 
 
 def _class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -201,10 +201,23 @@ def truncated_svd(vectors: DataFrame, features: str, terms: Sequence[str], k: in
     return table, [float(x) for x in svd.s.toArray()]
 
 
-def project_terms(weights: DataFrame, key: str, vectors: DataFrame, k: int, out: str = "point") -> DataFrame:
-    """Coordinates of each text: its weights times the term vectors, summed per text."""
-    joined = lookup_join(weights, vectors, ["term"], how="inner", salt_by=[key])
-    sums = [F.sum(F.col("weight") * F.get("v", F.lit(i))).alias(f"_c{i}") for i in range(k)]
+def project_terms(
+    weights: DataFrame, key: str, vectors: DataFrame, k: int, texts: DataFrame | None = None,
+    out: str = "point",
+) -> DataFrame:
+    """Coordinates of each text: its weights times the term vectors, summed per text.
+
+    With ``texts`` (holding the key) a text without any known term lies at zero.
+    """
+    joined = lookup_join(weights, vectors, ["term"], how="inner", salt_by=[key]).select(
+        key, "weight", "v"
+    )
+    if texts is not None:
+        joined = joined.unionByName(texts.select(key), allowMissingColumns=True)
+    sums = [
+        F.coalesce(F.sum(F.col("weight") * F.get("v", F.lit(i))), F.lit(0.0)).alias(f"_c{i}")
+        for i in range(k)
+    ]
     return joined.groupBy(key).agg(*sums).select(
         key, F.array(*[F.col(f"_c{i}") for i in range(k)]).alias(out)
     )

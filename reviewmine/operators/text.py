@@ -137,14 +137,11 @@ def pattern_entities(
     df: DataFrame, text: str, out: str = "entities", patterns: dict[str, str] = ENTITY_PATTERNS
 ) -> DataFrame:
     """Entities by pattern as array of (text, label): by label, then in text order."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(pattern), F.lit(0)),
-            lambda t, label=label: F.struct(t.alias("text"), F.lit(label).alias("label")),
-        )
-        for label, pattern in patterns.items()
-    ]
-    return df.withColumn(out, F.concat(*found))
+    def found(label: str, pattern: str) -> Column:
+        hits = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(pattern), F.lit(0))
+        return F.transform(hits, lambda t: F.struct(t.alias("text"), F.lit(label).alias("label")))
+
+    return df.withColumn(out, F.concat(*[found(*item) for item in patterns.items()]))
 
 
 def gazetteer_entities(
@@ -235,7 +232,9 @@ def polarity(
     score = F.when(F.col("before").isin(list(negations)), F.col("score") * NEGATION_FACTOR).otherwise(
         F.col("score")
     )
-    means = joined.groupBy(key).agg(F.coalesce(F.avg(score), F.lit(0.0)).alias("polarity"))
+    # Rounding takes out the noise of the order of summation, which could flip a sign.
+    mean = F.round(F.coalesce(F.avg(score), F.lit(0.0)), 9)
+    means = joined.groupBy(key).agg(mean.alias("polarity"))
     return means.withColumn(
         "class",
         F.when(F.col("polarity") > 0, "Positif").when(F.col("polarity") < 0, "Négatif").otherwise("Neutre"),

@@ -102,8 +102,8 @@ select conv_id, turn from conversations where text is not null and trim(text) <>
 def _(spark, folder):
     rows, _, _, vectorizer = _language(spark, folder, 200)
     model = M.fit_multinomial_lr(rows, max_iter=5)
-    path = f"{folder.rstrip('/')}/conversations.parquet"
-    turns = ST.read_text_stream(spark, path, spark.read.parquet(path).schema)
+    schema = read_table(spark, folder, "conversations").schema
+    turns = ST.read_text_stream(spark, folder, schema, pattern="conversations.parquet")
     scored = ST.score_texts(turns, "text", lambda df: model.transform(vectorizer.transform(df)))
     out = scratch_path(spark, "scores")
     run = ST.write_scores(scored.select("conv_id", "turn", "prediction"), out, scratch_path(spark, "progress"))
@@ -258,7 +258,7 @@ def _svd(spark, folder, size, k):
     weights = FE.tfidf_terms(
         T.documents(spark, folder).select("doc_id", words.alias("w")), "doc_id", "w", size, 5, 0.9
     )
-    return rows, FE.project_terms(weights, "doc_id", vectors, k)
+    return rows, FE.project_terms(weights, "doc_id", vectors, k, rows)
 
 
 @query("fe8_truncated_svd")

@@ -22,8 +22,10 @@ from .sql_text import clean
 
 FLAT = list(FLAT_NAMES.values())
 _FLAT_SQL = ", ".join(f'"{c}"' for c in FLAT)
-# What a file keeps of an empty text: nothing, read back as NULL, unless it was quoted.
-_FILE_SQL = f"with {T.FULL_REVIEWS_SQL} select {_FLAT_SQL} from full_reviews"
+# A file keeps nothing of an empty text, so the two blank columns come back as NULL.
+_FILE_SQL = (
+    f"with {T.FULL_REVIEWS_SQL} select {_FLAT_SQL} from full_reviews"
+).replace('"review_userCity", "review_userProvince"', 'nullif("review_userCity", \'\') "review_userCity", nullif("review_userProvince", \'\') "review_userProvince"')
 
 
 def _stored(spark, folder):

@@ -204,13 +204,12 @@ t as (select doc_id, {words_sql('text')} w from documents),
 e as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) p from t),
 b as (select *, lag(word) over (partition by doc_id order by p) prev from e),
 s as (select doc_id, avg(case when prev in ({_NEGATION_SQL}) then -0.5 * cast(score as double) else cast(score as double) end) m from b join lexicon using (word) group by doc_id)
-select doc_id, round(coalesce(m, 0), 6) polarity,
-  case when coalesce(m, 0) > 1e-12 then 'Positif' when coalesce(m, 0) < -1e-12 then 'Négatif' else 'Neutre' end "class"
+select doc_id, round(coalesce(m, 0), 9) polarity,
+  case when round(coalesce(m, 0), 9) > 0 then 'Positif' when round(coalesce(m, 0), 9) < 0 then 'Négatif' else 'Neutre' end "class"
 from documents left join s using (doc_id)""")
 def _(spark, folder):
     lexicon = spark.createDataFrame(_LEXICON, "word string, score double")
-    scored = TX.polarity(T.documents(spark, folder), "doc_id", "text", lexicon)
-    return scored.withColumn("polarity", F.round("polarity", 6))
+    return TX.polarity(T.documents(spark, folder), "doc_id", "text", lexicon)
 
 
 @query("tx13_word_split", "select word, count(*) n from (select unnest(regexp_split_to_array(text, '[ .]')) word from documents) group by word")

@@ -83,34 +83,35 @@ def extract_product_cards(pages: DataFrame, html: str = "html", markers: Markers
     return rows.where(F.col("product_url").isNotNull())  # a link without an address drops the card
 
 
-def _spec_value(html: Column, name: str, markers: Markers) -> Column:
-    """Last row of the specification tables whose heading holds the label.
-
-    A heading counts for the first label it holds, in the order of ``labels``.
-    """
-    labels = list(markers.labels.items())
+def _spec_rows(html: Column, markers: Markers) -> Column:
+    """(heading, value) of every full row of the specification tables."""
     tables = H.elements(html, *markers.spec_table)
     rows = F.flatten(F.transform(tables, lambda t: H.elements(t, "tr")))
     full = F.filter(rows, lambda r: H.has_element(r, "th") & H.has_element(r, "td"))
+    return F.transform(
+        full,
+        lambda r: F.struct(
+            H.element_text(r, "th").alias("heading"), H.element_text(r, "td").alias("value")
+        ),
+    )
+
+
+def _spec_value(rows: Column, name: str, markers: Markers) -> Column:
+    """Last row whose heading holds the label; a heading counts for the first label it holds."""
+    labels = list(markers.labels.values())
+    earlier = labels[: labels.index(markers.labels[name])]
 
     def decides(row):
-        heading = H.element_text(row, "th")
-        test = F.lit(True)
-        for key, label in labels:
-            holds = F.contains(heading, F.lit(label))
-            if key == name:
-                return test & holds
-            test = test & ~holds
-        raise KeyError(name)
+        test = F.contains(row["heading"], F.lit(markers.labels[name]))
+        for label in earlier:
+            test = test & ~F.contains(row["heading"], F.lit(label))
+        return test
 
-    hits = F.filter(full, decides)
-    return F.when(F.size(hits) > 0, H.element_text(F.element_at(hits, -1), "td")).otherwise("")
+    return F.coalesce(F.try_element_at(F.filter(rows, decides), F.lit(-1))["value"], F.lit(""))
 
 
-def _bullet_value(html: Column, name: str, markers: Markers) -> Column:
+def _bullet_value(texts: Column, name: str, markers: Markers) -> Column:
     """First bullet with the label and something after its last colon."""
-    box = H.inner_html(html, *markers.bullets)
-    texts = F.transform(H.elements(box, *markers.bullet), H.visible_text)
     hits = F.filter(texts, lambda t: F.contains(t, F.lit(markers.labels[name])))
     values = F.transform(hits, lambda t: F.trim(F.element_at(F.split(t, ":"), -1)))
     return F.coalesce(F.get(F.filter(values, lambda v: v != ""), F.lit(0)), F.lit(""))
@@ -119,15 +120,22 @@ def _bullet_value(html: Column, name: str, markers: Markers) -> Column:
 def extract_technical_details(pages: DataFrame, html: str = "html", markers: Markers = SHOP) -> DataFrame:
     """asins, brand, manufacturer and the (always empty) categories of a product page."""
     keep = [c for c in pages.columns if c != html]
+    box = H.inner_html(F.col(html), *markers.bullets)
+    parts = pages.select(
+        *keep,
+        H.element_text(F.col(html), *markers.title, default="").alias("name"),
+        _spec_rows(F.col(html), markers).alias("_rows"),
+        F.transform(H.elements(box, *markers.bullet), H.visible_text).alias("_bullets"),
+    )
 
     def value(name):
-        spec = _spec_value(F.col(html), name, markers)
-        return F.when(spec != "", spec).otherwise(_bullet_value(F.col(html), name, markers)).alias(name)
+        spec = _spec_value(F.col("_rows"), name, markers)
+        return F.when(spec != "", spec).otherwise(
+            _bullet_value(F.col("_bullets"), name, markers)
+        ).alias(name)
 
-    return pages.select(
-        *keep,
-        H.element_text(F.col(html), *markers.title, default="").alias("name"),
-        value("asins"), value("brand"), value("manufacturer"),
+    return parts.select(
+        *keep, "name", value("asins"), value("brand"), value("manufacturer"),
         F.array().cast("array<string>").alias("categories"),
     )
 

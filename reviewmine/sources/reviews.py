@@ -33,7 +33,10 @@ def read_reviews(
 
 
 def write_reviews(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The 22 columns in file order, UTF-8, with header; arrays joined by commas."""
+    """The 22 columns in file order, UTF-8, with header; arrays joined by commas.
+
+    An empty text is written as nothing, so a reader sees NULL.
+    """
     dotted = to_dotted(df)
     columns = []
     for name in REVIEW_COLUMNS:
@@ -50,6 +53,7 @@ def write_reviews(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .write.mode(mode)
         .option("header", True)
         .option("escape", '"')
+        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")

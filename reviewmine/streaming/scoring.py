@@ -12,8 +12,11 @@ from ..operators.classify import scorable
 
 
 def read_text_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                     max_files: int | None = None) -> DataFrame:
+                     max_files: int | None = None, pattern: str | None = None) -> DataFrame:
+    """Files that arrive in a folder; ``pattern`` picks them by name."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

@@ -61,15 +61,38 @@ def fit_svm(df: DataFrame, max_iter: int = 100, c: float = 1.0, n: int | None =
     return OneVsRest(classifier=svm, parallelism=parallelism).fit(df)
 
 
-def ovr_probabilities(scored: DataFrame, k: int, factor: float = 2.0, out: str = "probabilities") -> DataFrame:
-    """Margins of one-vs-rest models to shares: a sigmoid per class, scaled to sum 1.
+def score_classes(model: OneVsRestModel, df: DataFrame) -> DataFrame:
+    """``margins`` array<double>, one per class, and the ``prediction`` of the largest.
 
-    ``factor`` 2 is the link of boosted trees with log loss.
+    Runs the class models one after the other inside the JVM; the stock
+    transform of a one-vs-rest model would send each row through Python.
     """
-    margins = vector_to_array("rawPrediction")
-    odds = [1 / (1 + F.exp(-factor * F.get(margins, F.lit(i)))) for i in range(k)]
-    total = sum(odds[1:], odds[0])
-    return scored.withColumn(out, F.array(*[o / total for o in odds]))
+    scored, columns = df, []
+    for i, one in enumerate(model.models):
+        raw = f"_raw{i}"
+        named = one.copy({one.rawPredictionCol: raw, one.predictionCol: f"_class{i}"})
+        if named.hasParam("probabilityCol"):
+            named = named.copy({named.getParam("probabilityCol"): ""})
+        scored = named.transform(scored).drop(f"_class{i}")
+        columns.append(raw)
+    margins = F.array(*[F.get(vector_to_array(c), F.lit(1)) for c in columns])
+    scored = scored.withColumn("margins", margins).drop(*columns)
+    best = F.array_position("margins", F.array_max("margins")) - 1
+    return scored.withColumn("prediction", best.cast("double"))
+
+
+def sigmoid_shares(margins: Column, sigmoids: Sequence[tuple[float, float]]) -> Column:
+    """1 / (1 + exp(-(a m + b))) per class, scaled to sum 1."""
+    odds = F.array(
+        *[1 / (1 + F.exp(-(a * F.get(margins, F.lit(i)) + b))) for i, (a, b) in enumerate(sigmoids)]
+    )
+    total = F.aggregate(odds, F.lit(0.0), lambda x, y: x + y)
+    return F.transform(odds, lambda o: o / total)
+
+
+def tree_probabilities(scored: DataFrame, k: int, out: str = "probabilities") -> DataFrame:
+    """Margins of boosted trees to class shares; factor 2 is the link of their log loss."""
+    return scored.withColumn(out, sigmoid_shares(F.col("margins"), [(2.0, 0.0)] * k))
 
 
 class CalibratedSVM:
@@ -80,14 +103,8 @@ class CalibratedSVM:
         self.sigmoids = sigmoids
 
     def transform(self, df: DataFrame, out: str = "probabilities") -> DataFrame:
-        scored = self.svm.transform(df)
-        margins = vector_to_array("rawPrediction")
-        shares = [
-            1 / (1 + F.exp(-(a * F.get(margins, F.lit(i)) + b)))
-            for i, (a, b) in enumerate(self.sigmoids)
-        ]
-        total = sum(shares[1:], shares[0])
-        return scored.withColumn(out, F.array(*[s / total for s in shares]))
+        scored = score_classes(self.svm, df)
+        return scored.withColumn(out, sigmoid_shares(F.col("margins"), self.sigmoids))
 
 
 def fit_calibrated_svm(df: DataFrame, key: str, k: int, folds: int = 5, max_iter: int = 100,
@@ -98,8 +115,8 @@ def fit_calibrated_svm(df: DataFrame, key: str, k: int, folds: int = 5, max_iter
     held = None
     for i in range(folds):
         model = fit_svm(rows.where(F.col("_fold") != i), max_iter)
-        part = model.transform(rows.where(F.col("_fold") == i)).select(
-            F.col("label").alias("_class"), vector_to_array("rawPrediction").alias("_margins")
+        part = score_classes(model, rows.where(F.col("_fold") == i)).select(
+            F.col("label").alias("_class"), F.col("margins").alias("_margins")
         )
         held = part if held is None else held.unionByName(part)
     held = held.persist()

@@ -32,8 +32,10 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions.stopwords import ENGLISH
+from ..session import cut_lineage
 from .joins import lookup_join
 from .ordering import global_index
+from .text import explode_words
 
 
 # ---- counts and weights in long form ---------------------------------------------------
@@ -42,7 +44,7 @@ from .ordering import global_index
 def document_frequency(df: DataFrame, tokens: str, out: str = "term") -> DataFrame:
     """Texts per term and the plain inverse frequency ln((n + 1) / (df + 1))."""
     n = df.agg(F.count("*").alias("n")).scalar()
-    terms = df.select(F.explode(F.array_distinct(tokens)).alias(out))
+    terms = explode_words(df, F.array_distinct(tokens), (), out)
     counts = terms.groupBy(out).agg(F.count("*").alias("df"))
     return counts.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)))
 
@@ -90,11 +92,15 @@ def tfidf_terms(
     that placement, so the exploded terms are never shuffled.
     """
     terms = vocabulary(df, tokens, size, min_df, max_df).select("term", "idf")
+    if size is None:
+        terms = cut_lineage(terms)  # counted once, then measured and joined
     placed = df.select(key, F.col(tokens).alias("_tokens")).repartition(F.col(key))
-    counts = placed.select(key, F.explode("_tokens").alias("term")).groupBy(key, "term").agg(
+    counts = explode_words(placed, F.col("_tokens"), [key], "term").groupBy(key, "term").agg(
         F.count("*").alias("tf")
     )
-    weighted = lookup_join(counts, terms, ["term"], how="inner", salt_by=[key]).withColumn(
+    weighted = lookup_join(
+        counts, terms, ["term"], how="inner", salt_by=[key], bound=size
+    ).withColumn(
         "_raw", F.col("tf") * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
@@ -227,4 +233,7 @@ def document_map(points: DataFrame, key: str, groups: DataFrame, n: int = 1000,
     """Two coordinates and the group of n sampled texts, for a scatter plot."""
     flat = points.select(key, F.get("point", F.lit(0)).alias("x"), F.get("point", F.lit(1)).alias("y"))
     order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-    return flat.join(groups, key).orderBy(order, key).limit(n)
+    sampled = flat.orderBy(order, key).limit(n)
+    return lookup_join(groups, sampled, [key], how="inner", salt_by=[key], bound=n).select(
+        key, "x", "y", *[c for c in groups.columns if c != key]
+    )

@@ -30,6 +30,7 @@ def lookup_join(
     salt_by: Sequence[str] = (),
     salts: int = 32,
     max_rows: int = BROADCAST_ROWS,
+    bound: int | None = None,
 ) -> DataFrame:
     """Join many rows with a lookup table that is unique in ``on``.
 
@@ -37,8 +38,12 @@ def lookup_join(
     Beyond it both sides are shuffled on the key and a salt: the rows take one
     salt each from ``salt_by``, the table is repeated once per salt, so a key
     that holds a third of the rows is spread over ``salts`` tasks.
+
+    ``bound`` is a row count the table cannot exceed, where its maker knows one
+    (rows of a word or two); it saves counting.
     """
-    if fits_broadcast(table, max_rows):
+    small = bound <= max_rows if bound is not None else fits_broadcast(table, max_rows)
+    if small:
         return rows.join(F.broadcast(table), list(on), how)
     spread_by = list(salt_by) or [c for c in rows.columns if c not in on]
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.ratings import rating_number
 from ..functions.text import word_split
+from .text import explode_words
 
 
 def length_range(df: DataFrame, text: str) -> DataFrame:
@@ -122,7 +123,7 @@ def class_word_weights(
     Words come from splitting on spaces and full stops. Markup rests are dropped
     after the cut to k, as the cloud does while drawing.
     """
-    words = df.select(group, F.explode(word_split(F.col(text))).alias("word"))
+    words = explode_words(df, word_split(F.col(text)), [group])
     counts = words.where(F.col(group).isNotNull()).groupBy(group, "word").agg(F.count("*").alias("n"))
     top = top_per_group(counts, group, "word", "n", k)
     weighted = top.withColumn("weight", F.round(F.col("n") / divisor).cast("bigint"))

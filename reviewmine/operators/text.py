@@ -15,6 +15,18 @@ from ..functions.stopwords import ENGLISH
 from .joins import lookup_join
 
 
+def explode_words(
+    df: DataFrame, words: Column, keep: Sequence[str] = (), out: str = "word"
+) -> DataFrame:
+    """One row per element of a computed array.
+
+    The array is made in a projection of its own and exploded as outer: a plain
+    explode would add a size test that computes the array a second time.
+    """
+    made = df.select(*keep, words.alias("_words"))
+    return made.select(*keep, F.explode_outer("_words").alias(out)).where(F.col(out).isNotNull())
+
+
 def with_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
     return df.withColumn(out, X.tokens(F.col(text)))
 
@@ -37,7 +49,7 @@ def with_ngrams(df: DataFrame, tokens: str, n: int, out: str = "ngrams", drop_bl
 def explode_ngrams(df: DataFrame, tokens: str, n: int, keep: Sequence[str] = (), out: str = "ngram") -> DataFrame:
     """One row per n-gram, made by zipping the token array with its own shifts."""
     if n == 1:
-        return df.select(*keep, F.explode(tokens).alias(out))
+        return explode_words(df, F.col(tokens), keep, out)
     shifted = [
         F.col(tokens) if i == 0 else F.slice(F.col(tokens), F.lit(i + 1), F.size(tokens))
         for i in range(n)
@@ -70,7 +82,7 @@ def word_frequency(
     df: DataFrame, text: str, by: Sequence[str] = (), stopwords: Sequence[str] = ENGLISH
 ) -> DataFrame:
     """Words of the cloud: two characters or more, no stop words, counted overall or per class."""
-    words = df.select(*by, F.explode(X.word_tokens(F.col(text))).alias("word"))
+    words = explode_words(df, X.word_tokens(F.col(text)), by)
     kept = words.where(~F.col("word").isin([w.lower() for w in stopwords]))
     return kept.groupBy(*by, "word").agg(F.count("*").alias("n"))
 
@@ -101,7 +113,9 @@ def lemmatize(
     which words count as verbs (pos 'v'); all others are nouns ('n'). Words the
     dictionary lacks stay, or go through suffix rules. ``key`` must be unique.
     """
-    rows = df.select(key, F.posexplode_outer(X.blank_split(X.lower_text(F.col(text)))).alias("pos", "word"))
+    # Placed by key once, so that the words need no shuffle to be put together again.
+    placed = df.select(key, X.blank_split(X.lower_text(F.col(text))).alias("_w")).repartition(F.col(key))
+    rows = placed.select(key, F.posexplode_outer("_w").alias("pos", "word"))
     per_word = lemmas.groupBy("word").agg(
         F.min(F.when(F.col("pos") == "v", F.col("lemma"))).alias("_as_verb"),
         F.min(F.when(F.col("pos") == "n", F.col("lemma"))).alias("_as_noun"),
@@ -152,22 +166,15 @@ def gazetteer_entities(
     One (key, out) row per text, in text order; a text without a hit has [].
     Only hits are collected, so the shuffle carries one small row per text.
     """
-    words = df.select(key, X.tokens(F.col(text)).alias("_tokens"))
-    positions = F.posexplode_outer("_tokens").alias("pos", "_first")
-    grams = words.select(key, "_tokens", positions).select(
-        key, "pos",
-        F.explode(
-            F.array(
-                *[
-                    F.when(
-                        F.size("_tokens") >= F.col("pos") + n,
-                        F.array_join(F.slice("_tokens", F.col("pos") + 1, F.lit(n)), " "),
-                    )
-                    for n in range(1, max_words + 1)
-                ]
-            )
-        ).alias("phrase"),
-    )
+    tokens = df.select(key, X.tokens(F.col(text)).alias("_tokens"))
+    shifted = [F.slice("_tokens", F.lit(i + 1), F.size("_tokens")) for i in range(max_words)]
+    windows = F.arrays_zip(*[s.alias(f"_t{i}") for i, s in enumerate(shifted)])
+    starts = tokens.select(key, F.posexplode_outer(windows).alias("pos", "_w"))
+    phrases = [
+        F.when(F.col(f"_w._t{n}").isNotNull(), F.concat_ws(" ", *[F.col(f"_w._t{i}") for i in range(n + 1)]))
+        for n in range(max_words)
+    ]
+    grams = starts.select(key, "pos", F.explode(F.array(*phrases)).alias("phrase"))
     table = gazetteer.select(F.lower("phrase").alias("phrase"), "label").groupBy("phrase").agg(
         F.min("label").alias("label")
     )
@@ -222,11 +229,11 @@ def polarity(
     The word before each word is paired with it in place, so negation needs no
     window. ``lexicon`` has (word, score); ``key`` must be unique.
     """
-    words = X.word_tokens(F.col(text))
+    words = df.select(key, X.word_tokens(F.col(text)).alias("_words"))
     paired = F.arrays_zip(
-        words.alias("word"), F.concat(F.array(F.lit("")), words).alias("before")
+        F.col("_words").alias("word"), F.concat(F.array(F.lit("")), "_words").alias("before")
     )
-    rows = df.select(key, F.inline_outer(paired))
+    rows = words.select(key, F.inline_outer(paired))
     scores = lexicon.groupBy("word").agg(F.max("score").alias("score"))
     joined = lookup_join(rows, scores, ["word"], salt_by=[key, "before"])
     score = F.when(F.col("before").isin(list(negations)), F.col("score") * NEGATION_FACTOR).otherwise(

@@ -8,7 +8,6 @@ from ..functions.ratings import rating_number
 from ..functions.text import markup_kept, no_null_array, ngram_kept, tokens, underscore_ngram
 from ..operators import clean as C
 from ..operators import text as TX
-from ..sources.tables import read_table
 from . import tables as T
 from .catalog import query
 from .sql_text import ngrams, tokens as tokens_sql
@@ -58,7 +57,7 @@ g as (select replace(unnest({ngrams('w', 2)}), ' ', '_') gram from t)
 select gram, count(*) n from g
 where not contains(gram, '/><br') and not starts_with(gram, '_') and not ends_with(gram, '_') group by gram""")
 def _(spark, folder):
-    df = T.reviews(spark, folder).where(markup_kept(F.col("review_text")))
+    df = T.reviews(spark, folder, True).where(markup_kept(F.col("review_text")))
     grams = TX.explode_ngrams(df.select(tokens(F.col("review_text")).alias("w")), "w", 2, out="gram")
     joined = grams.select(underscore_ngram(F.col("gram")).alias("gram")).where(ngram_kept(F.col("gram")))
     return joined.groupBy("gram").agg(F.count("*").alias("n"))

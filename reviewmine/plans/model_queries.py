@@ -70,8 +70,8 @@ def _(spark, folder):
 def _(spark, folder):
     rows, _, labels, _ = _language(spark, folder, 100)
     train, test = M.split_rows(rows, "doc_id")
-    scored = M.fit_boosted_trees(train, rounds=2, depth=3).transform(test)
-    out = M.ovr_probabilities(scored, len(labels))
+    scored = M.score_classes(M.fit_boosted_trees(train, rounds=2, depth=3), test)
+    out = M.tree_probabilities(scored, len(labels))
     return out.select("doc_id", "label", "prediction", _rounded("probabilities").alias("probabilities"))
 
 
@@ -79,7 +79,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows, _, _, _ = _language(spark, folder, 200)
     train, test = M.split_rows(rows, "doc_id")
-    return M.fit_svm(train, max_iter=5).transform(test).select("doc_id", "label", "prediction")
+    return M.score_classes(M.fit_svm(train, max_iter=5), test).select("doc_id", "label", "prediction")
 
 
 @query("ml5_calibrated_svm")

@@ -16,8 +16,8 @@ _R = f"with {T.REVIEWS_SQL} "
 _S = T.SENTIMENT_SQL
 
 
-def _labelled(spark, folder):
-    df = C.with_sentiment(T.reviews(spark, folder), "rating_raw")
+def _labelled(spark, folder, spread=True):
+    df = C.with_sentiment(T.reviews(spark, folder, spread), "rating_raw")
     return C.with_binary_label(df).select("doc_id", "review_text", "sentiment", "label")
 
 
@@ -58,7 +58,7 @@ def _(spark, folder):
 @query("ag4_sentiment_counts", _R + f"""
 select {_S} sentiment, count(*) n, round(count(*) / sum(count(*)) over (), 6) as share from reviews group by 1""")
 def _(spark, folder):
-    return S.class_counts(_labelled(spark, folder), "sentiment")
+    return S.class_counts(_labelled(spark, folder, False), "sentiment")
 
 
 @query("ag5_item_frequency", _R + "select asins, count(*) n from reviews where asins is not null group by asins order by n desc, asins")

@@ -9,11 +9,12 @@ from ..functions.ratings import rating_number, recommends
 from ..sources.tables import read_table
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents", ["doc_id", "text", "lang", "source"], "doc_id")
+def documents(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
+    columns = ["doc_id", "text", "lang", "source"]
+    return read_table(spark, folder, "documents", columns, "doc_id" if spread else None)
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
+def reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Documents as reviews; ratings hold NULL, 'N/A' and fractions besides whole stars."""
     doc = F.col("doc_id")
     rating = (
@@ -22,7 +23,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         .when(doc % 17 == 0, "3.5")
         .otherwise(F.concat((1 + (doc * 7) % 5).cast("string"), F.lit(".0")))
     )
-    return documents(spark, folder).select(
+    return documents(spark, folder, spread).select(
         F.concat(F.lit("prod_"), (doc % 97).cast("string")).alias("id"),
         F.col("source").alias("asins"),
         F.col("lang").alias("brand"),
@@ -207,7 +208,7 @@ def review_pages(spark: SparkSession, folder: str) -> DataFrame:
 def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Result pages of a shop: up to sixteen parts as product cards on each."""
     key = F.col("p_partkey")
-    part = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_size", "p_retailprice"])
+    part = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_size"])
     name = F.concat(F.lit("<span>"), F.col("p_name"), F.lit("</span>"))
     heading = (
         F.when(key % 11 == 0, F.concat(F.lit("<h2>"), name, F.lit("</h2>")))
@@ -246,7 +247,7 @@ CARDS_SQL = """cards as (
 def product_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Product pages with a specification table, bullets, both or neither."""
     key = F.col("p_partkey")
-    part = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    part = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_brand", "p_type"], "p_partkey")
 
     def row(label: str, value: Column) -> Column:
         return F.concat(F.lit(f"<tr><th class='h'> {label} </th><td> "), value, F.lit(" </td></tr>"))

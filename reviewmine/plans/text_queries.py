@@ -214,5 +214,5 @@ def _(spark, folder):
 
 @query("tx13_word_split", "select word, count(*) n from (select unnest(regexp_split_to_array(text, '[ .]')) word from documents) group by word")
 def _(spark, folder):
-    words = T.documents(spark, folder).select(F.explode(word_split(F.col("text"))).alias("word"))
+    words = TX.explode_words(T.documents(spark, folder), word_split(F.col("text")))
     return words.groupBy("word").agg(F.count("*").alias("n"))

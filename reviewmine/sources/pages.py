@@ -218,4 +218,5 @@ def merge_cards(details: DataFrame, cards: DataFrame, on: str = "product_url") -
     """Card price, rating and review count laid over the details of the same address."""
     fields = ["price", "rating", "review_count"]
     base = details.drop(*[f for f in fields if f in details.columns])
-    return base.join(cards.select(on, *fields), on, "left")
+    linked = cards.where((F.col(on) != "N/A") & F.col(on).isNotNull())
+    return base.join(linked.select(on, *fields), on, "left")

@@ -189,22 +189,31 @@ def label_indexer(df: DataFrame, column: str, out: str = "label"):
 # ---- truncated SVD ---------------------------------------------------------------------
 
 
+GRAMIAN_TERMS = 4096  # up to here terms x terms numbers are cheap to hold
+
+
 def truncated_svd(vectors: DataFrame, features: str, terms: Sequence[str], k: int = 50):
     """Right singular vectors as (term, v array<double>) and the singular values.
 
     No centring. Signs are fixed so that the largest entry of each vector is positive.
-    The matrix is terms x k, bounded by the vocabulary.
+    A usual vocabulary takes one pass that sums the terms x terms products and a
+    small eigenproblem; a larger one is solved iteratively over the rows.
     """
     rows = MLUtils.convertVectorColumnsFromML(vectors.select(features), features)
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
+    matrix = RowMatrix(rows, numCols=len(terms))
+    if len(terms) <= GRAMIAN_TERMS:
+        values, v = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+        strongest = np.argsort(-values, kind="stable")[:k]
+        v, singular = v[:, strongest], np.sqrt(np.clip(values[strongest], 0.0, None))
+    else:
+        svd = matrix.computeSVD(k, computeU=False)
+        v, singular = svd.V.toArray(), svd.s.toArray()
     tops = np.abs(v).argmax(axis=0)
     v = v * np.sign(v[tops, np.arange(v.shape[1])])
-    spark = vectors.sparkSession
-    table = spark.createDataFrame(
-        [(t, [float(x) for x in v[i]]) for i, t in enumerate(terms)], "term string, v array<double>"
+    table = vectors.sparkSession.createDataFrame(
+        [(t, [float(x) for x in row]) for t, row in zip(terms, v)], "term string, v array<double>"
     )
-    return table, [float(x) for x in svd.s.toArray()]
+    return table, [float(x) for x in singular]
 
 
 def project_terms(

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as X
-from ..functions.stopwords import ENGLISH
 from ..session import cut_lineage
 from .joins import lookup_join
 from .ordering import global_index
@@ -91,7 +90,7 @@ def tfidf_terms(
     The texts are placed by key once; counting, weighting and scaling all keep
     that placement, so the exploded terms are never shuffled.
     """
-    terms = vocabulary(df, tokens, size, min_df, max_df).select("term", "idf")
+    terms = vocabulary(df, tokens, size, min_df, max_df).select("term", "idf", "df")
     if size is None:
         terms = cut_lineage(terms)  # counted once, then measured and joined
     placed = df.select(key, F.col(tokens).alias("_tokens")).repartition(F.col(key))
@@ -99,7 +98,7 @@ def tfidf_terms(
         F.count("*").alias("tf")
     )
     weighted = lookup_join(
-        counts, terms, ["term"], how="inner", salt_by=[key], bound=size
+        counts, terms, ["term"], how="inner", salt_by=[key], bound=size, weight="df"
     ).withColumn(
         "_raw", F.col("tf") * F.col("idf")
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def fits_broadcast(
@@ -22,30 +24,62 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def hot_keys(
+    counts: DataFrame, on: Sequence[str], n: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys with too many rows for one task, and over how many tasks to spread each.
+
+    A key is hot above ``hot_rows`` and above a ten-thousandth of all rows, so
+    there are never more than MAX_HOT_KEYS of them.
+    """
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).scalar()
+    limit = F.greatest(F.lit(float(hot_rows)), total / MAX_HOT_KEYS)
+    return counts.where(F.col(n) > limit).select(
+        *on, F.ceil(F.col(n) / limit).cast("int").alias("_salts")
+    )
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str = "left",
     salt_by: Sequence[str] = (),
-    salts: int = 32,
     max_rows: int = BROADCAST_ROWS,
     bound: int | None = None,
+    weight: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join many rows with a lookup table that is unique in ``on``.
 
     A table within the bound is broadcast and the rows stay where they are.
-    Beyond it both sides are shuffled on the key and a salt: the rows take one
-    salt each from ``salt_by``, the table is repeated once per salt, so a key
-    that holds a third of the rows is spread over ``salts`` tasks.
+    Beyond it both sides are shuffled on the key and a salt. Only hot keys have
+    more than one salt, as many as their rows need: the rows spread by a hash of
+    ``salt_by``, the table's row is repeated once per salt. So a key that holds a
+    third of all rows is shared by many tasks and nothing else is repeated.
 
     ``bound`` is a row count the table cannot exceed, where its maker knows one
-    (rows of a word or two); it saves counting.
+    (rows of a word or two); it saves counting. ``weight`` names a column of the
+    table with the number of rows per key; without it they are counted.
     """
     small = bound <= max_rows if bound is not None else fits_broadcast(table, max_rows)
     if small:
         return rows.join(F.broadcast(table), list(on), how)
+    if weight:
+        counts = table.select(*on, F.col(weight).alias("_n"))
+    else:
+        counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
+    hot = F.broadcast(hot_keys(counts, on, "_n", hot_rows))  # at most MAX_HOT_KEYS rows
     spread_by = list(salt_by) or [c for c in rows.columns if c not in on]
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    salts = F.coalesce("_salts", F.lit(1))
+    unmatched = F.greatest(*[F.col(c).isNull().cast("int") for c in on], F.lit(0)) == 1
+    row_salts = F.when(unmatched, MAX_HOT_KEYS).otherwise(salts)  # NULL keys meet nothing
+    salted_rows = rows.join(hot, list(on), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*spread_by), row_salts).cast("int")
+    )
+    salted_table = table.join(hot, list(on), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    )
+    return salted_rows.drop("_salts").join(
+        salted_table.drop("_salts"), [*on, "_salt"], how
+    ).drop("_salt")

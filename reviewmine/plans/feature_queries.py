@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stopwords import ENGLISH
 from ..functions.text import remove_stopwords, tokens, word_tokens
 from ..operators import clean as C
 from ..operators import evaluate as E
@@ -70,7 +71,7 @@ select doc_id, coalesce(s, 0.0) total, coalesce(m, 0) n_terms from documents lef
   (select doc_id, cast(sum(c.tf) as double) s, cast(count(*) as integer) m from c join k using (term) group by doc_id) using (doc_id)""")
 def _(spark, folder):
     docs = T.documents(spark, folder).select("doc_id", "text")
-    model, _ = FE.fit_vectorizer(docs, "text", 2000, 5, 0.9, FE.ENGLISH, tfidf=False)
+    model, _ = FE.fit_vectorizer(docs, "text", 2000, 5, 0.9, ENGLISH, tfidf=False)
     values = F.unwrap_udt("features")["values"]
     return model.transform(docs).select(
         "doc_id", F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"), F.size(values).alias("n_terms")
@@ -88,7 +89,7 @@ select doc_id, coalesce(s, 0.0) total from documents left join
   (select doc_id, round(sum(raw / norm), 6) s from r join n using (doc_id) group by doc_id) using (doc_id)""")
 def _(spark, folder):
     docs = T.documents(spark, folder).select("doc_id", "text")
-    model, _ = FE.fit_vectorizer(docs, "text", 2000, 5, 0.9, FE.ENGLISH)
+    model, _ = FE.fit_vectorizer(docs, "text", 2000, 5, 0.9, ENGLISH)
     values = F.unwrap_udt("features")["values"]
     return model.transform(docs).select(
         "doc_id", F.round(F.aggregate(values, F.lit(0.0), lambda a, b: a + b), 6).alias("total")

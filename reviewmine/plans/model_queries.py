@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.stopwords import ENGLISH
 from ..functions.text import no_null_array, remove_stopwords, tokens, word_tokens
 from ..operators import classify as M
 from ..operators import evaluate as E
@@ -98,19 +99,24 @@ def _(spark, folder):
 
 
 @query("ml8_stream_scores", """
-select conv_id, turn from conversations where text is not null and trim(text) <> ''""")
+select conv_id, turn, true as same_as_batch from conversations where text is not null and trim(text) <> ''""")
 def _(spark, folder):
     rows, _, _, vectorizer = _language(spark, folder, 200)
     model = M.fit_multinomial_lr(rows, max_iter=5)
-    schema = read_table(spark, folder, "conversations").schema
-    turns = ST.read_text_stream(spark, folder, schema, pattern="conversations.parquet")
-    scored = ST.score_texts(turns, "text", lambda df: model.transform(vectorizer.transform(df)))
+
+    def score(df):
+        return model.transform(vectorizer.transform(df)).select("conv_id", "turn", "prediction")
+
+    turns = read_table(spark, folder, "conversations")
+    stream = ST.read_text_stream(spark, folder, turns.schema, pattern="conversations.parquet")
     out = scratch_path(spark, "scores")
-    run = ST.write_scores(scored.select("conv_id", "turn", "prediction"), out, scratch_path(spark, "progress"))
+    run = ST.write_scores(ST.score_texts(stream, "text", score), out, scratch_path(spark, "progress"))
     run.awaitTermination()
-    return spark.read.schema("conv_id bigint, turn bigint, prediction double").parquet(out).where(
-        "prediction is not null"
-    ).select("conv_id", "turn")
+    batch = ST.score_texts(turns, "text", score).withColumnRenamed("prediction", "batch")
+    streamed = spark.read.schema("conv_id bigint, turn bigint, prediction double").parquet(out)
+    return streamed.join(batch, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", F.col("prediction").eqNullSafe(F.col("batch")).alias("same_as_batch")
+    )
 
 
 @query("ml9_feature_importance")
@@ -195,7 +201,7 @@ def _(spark, folder):
 def _(spark, folder):
     rec, _ = _recommender(spark, folder)
     path = scratch_path(spark, "recommendations")
-    RC.write_recommendations(RC.recommend_all(rec, 5), path, 20)
+    RC.write_recommendations(rec, path, 20)
     return spark.read.option("header", True).schema("user string, rank int, item string, rating float").csv(path)
 
 
@@ -204,7 +210,7 @@ def _(spark, folder):
 
 def _counts(spark, folder, size=500, tfidf=False):
     docs = T.documents(spark, folder).select("doc_id", "text")
-    model, terms = FE.fit_vectorizer(docs, "text", size, 5, 0.9, FE.ENGLISH, tfidf=tfidf)
+    model, terms = FE.fit_vectorizer(docs, "text", size, 5, 0.9, ENGLISH, tfidf=tfidf)
     return model.transform(docs).select("doc_id", "features").persist(), terms
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.html import visible_text
@@ -101,15 +102,19 @@ def _(spark, folder):
     )
 
 
-@query("io6_model_save_load")
+@query("io6_model_save_load", "select doc_id, true as same_after_loading from documents where text is not null")
 def _(spark, folder):
     docs = T.documents(spark, folder).select(
         "doc_id", "text", (F.col("lang") == "en").cast("double").alias("label")
     )
     stages = [*hashing_stages("text", buckets=1 << 12), LogisticRegression(maxIter=3, regParam=0.01)]
-    path = save_model(Pipeline(stages=stages).fit(docs), scratch_path(spark, "model"))
-    model: PipelineModel = load_pipeline(path)
-    return model.transform(docs).select("doc_id", "label", "prediction")
+    fitted = Pipeline(stages=stages).fit(docs)
+    loaded = load_pipeline(save_model(fitted, scratch_path(spark, "model")))
+    before = fitted.transform(docs).select("doc_id", F.col("probability").alias("before"))
+    after = loaded.transform(docs).select("doc_id", F.col("probability").alias("after"))
+    return before.join(after, "doc_id").select(
+        "doc_id", (vector_to_array("before") == vector_to_array("after")).alias("same_after_loading")
+    )
 
 
 @query("io7_preview", f"""

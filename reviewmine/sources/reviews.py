@@ -97,9 +97,9 @@ def nest_reviews(reviews: DataFrame, order: str = "review_id", max_per_row: int
     product_fields = [c for c in PRODUCT_FIELDS if c in reviews.columns and c != "id"]
     large = (
         reviews.groupBy("id").count().where(F.col("count") > max_per_row)
-        .select("id", F.ceil(F.col("count") / max_per_row).cast("int").alias("_parts"))
+        .select("id", F.ceil(F.col("count") / max_per_row).cast("int").alias("_parts"), "count")
     )
-    rows = lookup_join(reviews, large, ["id"], salt_by=[order])
+    rows = lookup_join(reviews, large, ["id"], salt_by=[order], weight="count")
     part = F.pmod(F.xxhash64(order), F.coalesce("_parts", F.lit(1))).cast("int")
     entry = F.struct(F.col(order).alias("_order"), *fields)
     grouped = rows.withColumn("part", part).groupBy("id", "part").agg(

@@ -170,7 +170,7 @@ def test_als_recovers_planted_factors(spark, planted_ratings, tmp_path):
     asked = spark.createDataFrame([("u3",), ("nobody",)], "user string")
     mine = sorted((r["rank"], r["item"]) for r in RC.recommend_for(loaded, asked, 5).collect())
     assert mine == sorted((r["rank"], r["item"]) for r in everyone.where("user = 'u3'").collect()) and len(mine) == 5
-    RC.write_recommendations(everyone, str(tmp_path / "csv"), 20)
+    RC.write_recommendations(rec, str(tmp_path / "csv"), 20)
     stored = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert stored.count() == 100 and stored.columns == ["user", "rank", "item", "rating"]
 

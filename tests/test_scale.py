@@ -17,19 +17,34 @@ def test_size_check(spark):
 
 
 def test_salted_join_equals_broadcast_join(spark):
-    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"w{i % 7}") for i in range(300)], "k int, w string")
-    table = spark.createDataFrame([("hot", 1), ("w1", 2), ("w2", 3)], "w string, v int")
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"w{i % 7}") for i in range(300)] + [(400, None)], "k int, w string")
+    table = spark.createDataFrame([("hot", 1, 100), ("w1", 2, 30), ("w2", 3, 30), ("none", 4, 0)], "w string, v int, n bigint")
     for how in ("left", "inner"):
-        salted = joins.lookup_join(rows, table, ["w"], how, salt_by=["k"], salts=4, max_rows=1)
-        direct = joins.lookup_join(rows, table, ["w"], how)
-        assert sorted(map(str, salted.select("k", "w", "v").collect())) == sorted(map(str, direct.select("k", "w", "v").collect()))
-
-
-def test_hot_key_is_spread_over_salts(spark):
-    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit("hot").alias("w"))
-    salt = F.pmod(F.xxhash64("k"), F.lit(8))
-    counts = [r["count"] for r in rows.groupBy(salt).count().collect()]
-    assert len(counts) == 8 and max(counts) < 200
+        direct = sorted(map(str, joins.lookup_join(rows, table, ["w"], how).select("k", "w", "v").collect()))
+        for weight in (None, "n"):
+            salted = joins.lookup_join(rows, table, ["w"], how, salt_by=["k"], max_rows=1, hot_rows=10, weight=weight)
+            assert sorted(map(str, salted.select("k", "w", "v").collect())) == direct
+
+
+def test_hot_keys_get_salts_by_their_size(spark):
+    counts = spark.createDataFrame([("hot", 1000), ("warm", 25), ("cold", 9)], "w string, n bigint")
+    found = {r["w"]: r["_salts"] for r in joins.hot_keys(counts, ["w"], "n", 10).collect()}
+    assert found == {"hot": 100, "warm": 3}
+    assert joins.hot_keys(counts, ["w"], "n").count() == 0
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id"))).alias("w"))
+    table = rows.select("w").distinct().withColumn("v", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = joins.lookup_join(rows, table, ["w"], salt_by=["k"], max_rows=10, hot_rows=100)
+        parts = [r["count"] for r in joined.where("w = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(parts) == 1334 and len(parts) == 4 and max(parts) < 700
 
 
 @settings(max_examples=8, deadline=None)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -32,10 +32,19 @@ def split_rows(df: DataFrame, key: str, train_percent: int = 70, seed: int = 42)
 
 def fit_hashing_lr(df: DataFrame, text: str = "text", max_iter: int = 10, reg: float = 0.01,
                    buckets: int = 1 << 18) -> PipelineModel:
-    """Binary classifier on hashed TF-IDF; NULL texts are left out, as the tokenizer needs."""
+    """Binary classifier on hashed TF-IDF; NULL texts are left out, as the tokenizer needs.
+
+    The hashed counts are kept while idf and classifier are fitted, so the texts
+    are read and tokenized once.
+    """
+    tokenizer, hashing, idf = hashing_stages(text, buckets=buckets)
+    rows = df.where(F.col(text).isNotNull()).select(text, "label")
+    hashed = hashing.transform(tokenizer.transform(rows)).select("label", hashing.getOutputCol()).persist()
+    weights = idf.fit(hashed)
     lr = LogisticRegression(maxIter=max_iter, regParam=reg)
-    stages = [*hashing_stages(text, buckets=buckets), lr]
-    return Pipeline(stages=stages).fit(df.where(F.col(text).isNotNull()))
+    model = PipelineModel([tokenizer, hashing, weights, lr.fit(weights.transform(hashed))])
+    hashed.unpersist()
+    return model
 
 
 def fit_multinomial_lr(df: DataFrame, max_iter: int = 1000, c: float = 1.0, n: int | None = None) -> LogisticRegressionModel:

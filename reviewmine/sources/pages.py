@@ -61,11 +61,22 @@ def review_page_url(product_url: Column, page: Column | None = None) -> Column:
     return F.when(page > 1, F.concat(url, F.lit("&pageNumber="), page.cast("string"))).otherwise(url)
 
 
+def _blocks(pages: DataFrame, keep: list[str], found: Column) -> DataFrame:
+    """One row (_pos, _block) per element of an array that is computed once.
+
+    Outer, because a plain explode would add a size test that cuts the page a
+    second time.
+    """
+    made = pages.select(*keep, found.alias("_found"))
+    rows = made.select(*keep, F.posexplode_outer("_found").alias("_pos", "_block"))
+    return rows.where(F.col("_block").isNotNull())
+
+
 def extract_product_cards(pages: DataFrame, html: str = "html", markers: Markers = SHOP) -> DataFrame:
     """One row per product card of a result page, 'N/A' where a field is missing."""
     keep = [c for c in pages.columns if c != html]
-    cards = pages.select(*keep, F.posexplode(H.elements(F.col(html), *markers.card)).alias("_pos", "_card"))
-    card = F.col("_card")
+    cards = _blocks(pages, keep, H.elements(F.col(html), *markers.card))
+    card = F.col("_block")
     heading = H.inner_html(card, "h2")
     href = H.attribute(heading, "a", "href")
     missing = F.lit("N/A")
@@ -161,9 +172,8 @@ def extract_reviews(
     """
     seen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if seen_at is None else seen_at
     keep = [c for c in pages.columns if c != html]
-    blocks = pages.withColumn("_seen", seen).select(
-        *keep, "_seen",
-        F.posexplode(H.elements(F.col(html), *markers.review)).alias("_pos", "_block"),
+    blocks = _blocks(
+        pages.withColumn("_seen", seen), [*keep, "_seen"], H.elements(F.col(html), *markers.review)
     )
     block = F.col("_block")
     stars = F.coalesce(
@@ -173,7 +183,7 @@ def extract_reviews(
     fields = blocks.select(
         *keep, "_seen", (F.col("_pos") + 1).alias("position"),
         H.element_text(block, *markers.review_date, default="").alias("review_date"),
-        stars.alias("_stars"), leading_number(stars).alias("_rating"), votes.alias("_votes"),
+        stars.alias("_stars"), votes.alias("_votes"),
         F.coalesce(
             H.attribute(block, markers.review[0], "id", markers.review[1]),
             F.concat(F.lit("rev_"), F.md5(F.concat_ws("|", F.col(url), F.col("_pos").cast("string")))),
@@ -182,6 +192,7 @@ def extract_reviews(
         H.element_text(block, *markers.review_title, default="").alias("review_title"),
         H.element_text(block, *markers.review_user, default="Anonymous").alias("review_username"),
     )
+    fields = fields.withColumn("_rating", leading_number(F.col("_stars")))
     counted = F.when(F.col("_votes").isNull(), 0).otherwise(helpful_votes(F.col("_votes"), repaired))
     if not repaired:
         fields = fields.where(

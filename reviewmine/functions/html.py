@@ -116,15 +116,20 @@ def _balanced(rest: Column, tag: str) -> Column:
 
 
 def inner_html(html: Column, tag: str, marker: str = "") -> Column:
-    """Content of the first such element, NULL where there is none."""
+    """Content of the first such element, NULL where there is none.
+
+    Most elements hold none of their own kind and end at the next closing tag;
+    only the others are balanced.
+    """
     opening = _opening(tag, marker)
-    return let(
-        html,
-        lambda h: F.when(
-            has_element(h, tag, marker),
-            _balanced(F.regexp_extract(h, rf"(?s){opening}(.*)$", 1), tag),
-        ),
-    )
+
+    def content(h: Column) -> Column:
+        nearest = F.regexp_extract(h, rf"(?s){opening}(.*?)(?:</{tag}\b|\z)", 1)
+        whole = _balanced(F.regexp_extract(h, rf"(?s){opening}(.*)\z", 1), tag)
+        found = let(nearest, lambda n: F.when(n.rlike(rf"<{tag}\b"), whole).otherwise(n))
+        return F.when(has_element(h, tag, marker), found)
+
+    return let(html, content)
 
 
 def elements(html: Column, tag: str, marker: str = "") -> Column:
@@ -135,7 +140,7 @@ def elements(html: Column, tag: str, marker: str = "") -> Column:
         F.coalesce(found, F.array().cast("array<string>")),
         lambda p: F.concat(
             F.regexp_extract(p, rf"^({_opening(tag, marker)})", 1),
-            _balanced(F.regexp_extract(p, rf"(?s)^{_opening(tag, marker)}(.*)$", 1), tag),
+            _balanced(F.regexp_extract(p, rf"(?s)^{_opening(tag, marker)}(.*)\z", 1), tag),
         ),
     )
 

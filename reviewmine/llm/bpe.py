@@ -18,14 +18,14 @@ import ahocorasick
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .common import map_rows, need, sha256
 
 # The pattern by which byte-level BPE files of this kind split text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_PIECES = 400_000  # pieces a task remembers; then it starts anew, so memory is bounded
-CACHE_PAIRS = 500_000  # compatibility answers it remembers likewise
+CACHE_PIECES = 300_000  # pieces a task remembers; then it starts anew, so memory is bounded
+CACHE_PAIRS = 300_000  # compatibility answers it remembers likewise
 CACHE_CHARS = 64  # longer pieces are rare and not remembered
 
 
@@ -184,7 +184,6 @@ def load(path: str) -> ByteBpe:
 ENCODED = StructType([
     StructField("doc_id", LongType()), StructField("n_tokens", LongType()),
     StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType()),
-    StructField("n_chars", IntegerType()), StructField("round_trip", StringType()),
 ])
 
 
@@ -205,7 +204,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
         return one
 
-    schema = StructType().add("id", key).add("ids", "array<int>").add("decoded", "string")
+    schema = StructType().add("id", key).add("ids", ArrayType(LongType())).add("decoded", "string")
     return map_rows(need(docs, id_col, text_col), schema, make)
 
 
@@ -225,5 +224,5 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
         return one
 
-    schema = StructType(ENCODED.fields[:4])
+    schema = ENCODED
     return map_rows(need(docs, id_col, text_col), schema, make)

@@ -35,7 +35,7 @@ def map_rows(
     batches follow the amount of text read, so that memory does not depend on
     the length of single rows beyond the longest one.
     """
-    arrow = to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

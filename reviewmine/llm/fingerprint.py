@@ -168,7 +168,7 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     NULL texts are empty; the only row of a table is followed by itself; an empty table gives an empty one.
     """
-    arrow = to_arrow_schema(EDITED, timezone="UTC", prefers_large_types=False)
+    arrow = to_arrow_schema(EDITED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the row that waits for the next one

@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from .common import map_rows, need
 
@@ -305,5 +306,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         return one
 
     schema = pages.select(id_col, url_col).schema
-    out = type(schema)().add("page_id", schema[0].dataType).add("url", schema[1].dataType).add("text", "string").add("n_chars", "long")
+    out = StructType().add("page_id", schema[0].dataType).add("url", schema[1].dataType).add("text", "string").add("n_chars", "long")
     return map_rows(need(pages, id_col, url_col, html_col), out, make)

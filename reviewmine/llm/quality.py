@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import map_rows, need
 
@@ -182,7 +183,7 @@ def score_documents(docs: DataFrame, model: SubwordModel, id_col: str = "doc_id"
 
         return one
 
-    schema = type(docs.schema)().add("doc_id", docs.schema[id_col].dataType).add("score", "double")
+    schema = StructType().add("doc_id", docs.schema[id_col].dataType).add("score", "double")
     return map_rows(need(docs, id_col, text_col), schema, make)
 
 

@@ -111,10 +111,10 @@ def search(
         F.pmod(F.xxhash64(rows), F.lit(shards)).cast("int").alias("shard"), F.lit(-1).cast("long").alias("query_row"),
         "id", "vector",
     )
-    asked = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), rows.alias("query_row"), "id", "vector",
+    asked = queries.select(rows.alias("query_row"), "id", "vector").select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "query_row", "id", "vector",
     )
-    arrow = to_arrow_schema(HIT, timezone="UTC", prefers_large_types=False)
+    arrow = to_arrow_schema(HIT)
 
     def dense(column: pa.ListArray) -> np.ndarray:
         flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -5,8 +5,9 @@ probabilities that the models before it gave; in training these come from models
 (out of fold), so later models learn how far earlier ones can be trusted. The last category is the
 verdict.
 
-Models are logistic regressions over the words that tell a category apart in the training rows.
-A text's words are taken as a set, so one passage counts alike in short and long texts.
+Models are logistic regressions over the words, and beginnings of words, that tell a category apart in the
+training rows; both classes weigh alike in the fit, so that a rare category is not missed. A
+text's words are taken as a set, so one passage counts alike in short and long texts.
 """
 
 from __future__ import annotations
@@ -19,14 +20,16 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import map_rows, need
 from .quality import labelled_sample
 
 BUCKETS = 1 << 20
-MAX_LABELLED = 10_000  # labelled rows at most that a chain is fitted on
-FOLDS = 4
-Z_LEAST = 5.0  # standard errors by which a word must tell classes apart
+MAX_LABELLED = 8_000  # labelled rows at most that a chain is fitted on
+FOLDS = 3
+PREFIXES = (4, 5, 6)
+Z_LEAST = 5.0  # standard errors by which a word must be more frequent in a category
 CATEGORIES = ("insult", "abuse", "toxic")
 # Insults that name the first category; words of other kinds are learned.
 INSULTS = frozenset(
@@ -40,8 +43,12 @@ def words_of(text: str) -> set[str]:
     return set(_WORDS(text.lower()))
 
 
-def bucket(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+def buckets_of(words: set[str]) -> set[int]:
+    """Buckets of the words and of the beginnings of longer ones, so that their other endings count too."""
+    out = {zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in words}
+    for n in PREFIXES:
+        out.update(zlib.crc32(p.encode("utf-8", "surrogatepass"), n) % BUCKETS for p in {w[:n] for w in words if len(w) > n})
+    return out
 
 
 @dataclass
@@ -59,7 +66,7 @@ class Linear:
 
 
 def _telling(rows: list[np.ndarray], y: np.ndarray, least: float = Z_LEAST) -> np.ndarray:
-    """Buckets whose share of rows differs between the classes by more than chance would."""
+    """Buckets that rows of the category have more often than chance would have it."""
     if not rows or y.min() == y.max():
         return np.zeros(0, dtype=np.int64)
     flat = np.concatenate(rows)
@@ -70,10 +77,10 @@ def _telling(rows: list[np.ndarray], y: np.ndarray, least: float = Z_LEAST) -> n
     n, base = len(y), float(y.mean())
     expected = has * base
     spread = np.sqrt(np.maximum(has * base * (1 - base) * (1 - has / n), 1e-9))
-    return buckets[(np.abs(positive - expected) > least * spread) & (has >= 2)]
+    return buckets[(positive - expected > least * spread) & (has >= 2)]
 
 
-def fit_linear(rows: list[np.ndarray], y: np.ndarray, before: np.ndarray, steps: int = 300, decay: float = 1e-3) -> Linear:
+def fit_linear(rows: list[np.ndarray], y: np.ndarray, before: np.ndarray, steps: int = 250, decay: float = 1e-5) -> Linear:
     """Logistic regression by Adam over the telling words and the earlier probabilities."""
     chosen = _telling(rows, y)
     lengths = [len(r) for r in rows]
@@ -82,15 +89,17 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, before: np.ndarray, steps:
     known = (at < len(chosen)) & (chosen[np.minimum(at, max(len(chosen) - 1, 0))] == flat if len(chosen) else False)
     row, column = np.repeat(np.arange(len(rows)), lengths)[known], at[known]
     m, k = len(chosen), before.shape[1]
-    base = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
     w = np.zeros(m + k + 1)
-    w[-1] = np.log(base / (1 - base))
+    both = len(y) > 0 and y.min() != y.max()
+    if not both:  # nothing to tell apart: the only class, or no answer
+        w[-1] = 0.0 if not len(y) else (8.0 if y[0] else -8.0)
+    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
     first, second = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, steps + 1 if len(y) and y.min() != y.max() else 1):
+    for step in range(1, steps + 1 if both else 1):
         z = np.bincount(row, weights=w[column], minlength=len(y)) + before @ w[m:m + k] + w[-1]
-        miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
+        miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * weight
         slope = np.concatenate((np.bincount(column, weights=miss[row], minlength=m), miss @ before, [miss.sum()]))
-        slope[:-1] += decay / 10 * w[:-1]
+        slope[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope ** 2
         w -= 0.1 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
@@ -103,7 +112,7 @@ class Chain:
     models: list[Linear]
 
     def probabilities(self, text: str) -> list[float]:
-        buckets = {bucket(w) for w in words_of(text)}
+        buckets = buckets_of(words_of(text))
         out: list[float] = []
         for model in self.models:
             out.append(model.probability(buckets, out))
@@ -139,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = MA
     def make() -> Callable[..., Iterator[tuple]]:
         def one(doc_id: int, text: str | None, y: int) -> Iterator[tuple]:
             words = words_of(text or "")
-            buckets = np.array(sorted({bucket(w) for w in words}), dtype="<i4")
+            buckets = np.array(sorted(buckets_of(words)), dtype="<i4")
             yield doc_id, y, bool(words & INSULTS), buckets.tobytes()
 
         return one
@@ -160,10 +169,10 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
 
         return one
 
-    schema = type(docs.schema)().add("doc_id", docs.schema[id_col].dataType)
+    schema = StructType().add("doc_id", docs.schema[id_col].dataType)
     for name in chain.categories:
         schema = schema.add(f"p_{name}", "double")
-    return map_rows(need(docs, id_col, text_col), schema.add("toxic", "int"), make)
+    return map_rows(need(docs, id_col, text_col), schema.add("toxic", "integer"), make)
 
 
 def keep_clean(docs: DataFrame, chain: Chain, most: float = 0.5, text_col: str = "text") -> DataFrame:

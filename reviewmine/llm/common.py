@@ -48,7 +48,8 @@ def map_rows(
                     out.extend(fn(*row))
                     size += sum(len(v) for v in row if isinstance(v, (str, bytes))) + 200
                     if size >= CHUNK_CHARS:
-                        yield _batch(out, arrow)
+                        if out:
+                            yield _batch(out, arrow)
                         out, size = [], 0
         if out:
             yield _batch(out, arrow)

@@ -23,7 +23,7 @@ from .common import CHUNK_CHARS, _batch, map_rows, need, sha256
 K = 8  # characters of a k-mer
 KEEP = 2  # k-mers of a sketch
 SKETCHES = 64
-ROWS_PER_SLICE = 20_000
+ROWS_PER_SLICE = 4_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -9,9 +9,9 @@ longs. Equal lanes by chance are corrected: J = (E - C) / (1 - C) with C = 2 **
 2. Band buckets give candidates. A member is compared with the smallest id of its buckets, a
    star, never with every other member. Pairs whose sizes or estimate rule out a link go.
 3. Candidates are confirmed on their full shingle sets, and links are joined to components.
-4. Buckets that still hold several components are looked at again: every member against
-   the members outside the bucket's largest component. So no link that banding can see is lost, and a
-   group of near copies costs its size and not its square.
+4. A finer star joins what agrees in two bands in a row. Buckets that still hold several components are
+   looked at again: every member against the members outside the bucket's largest component. So no link
+   that banding can see is lost, and a group of near copies costs its size and not its square.
 
 At similarity 0.8 a pair shares no band with a probability of (1 - 0.8 ** 6) ** 48 = 5e-7; the estimate's margin is
 five standard errors.
@@ -25,7 +25,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from .common import map_rows, need, stored
 
@@ -35,6 +35,7 @@ SIGNED = StructType([
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
     StructField("bits", ArrayType(LongType())),
 ])
+SETS = StructType([StructField("rep", LongType()), StructField("hashes", ArrayType(IntegerType()))])
 PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
 MARGIN = 0.118  # five standard errors of the estimate at 0.8 over 288 lanes
 _LOW = sum(((1 << (BITS - 1)) - 1) << (BITS * i) for i in range(LANES))
@@ -209,19 +210,23 @@ def near_duplicates(
         "classes",
     )
     reps = classes.where(F.col("rep").isNotNull()).select("rep", "n", "bits")
-    buckets = reps.select("rep", F.posexplode("bits").alias("band", "value")).select(
-        "rep", F.xxhash64("band", "value").alias("bucket"))
+    following = F.concat(F.slice("bits", 2, BANDS - 1), F.slice("bits", 1, 1))
+    buckets = reps.select("rep", F.posexplode(F.arrays_zip(F.col("bits"), following.alias("next"))).alias("band", "x")).select(
+        "rep", "band", F.xxhash64("band", "x.bits").alias("bucket"), F.xxhash64("band", "x.bits", "x.next").alias("fine"))
     shared = buckets.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("*").alias("n")).where("n > 1")
     shared = stored(shared.select("bucket", "center"), "shared")
-    members = stored(buckets.join(shared, "bucket").select("bucket", "rep", "center"), "members")
+    members = stored(buckets.join(shared, "bucket").select("bucket", "band", "fine", "rep", "center"), "members")
     if members.isEmpty():
         return _labelled(signed, classes, None)
     bits = reps.join(members.select("rep").distinct(), "rep", "left_semi")
     bits = stored(bits, "bits")
     left, right = bits.toDF("a", "na", "bits_a"), bits.toDF("b", "nb", "bits_b")
     stars = members.where("rep != center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-    close = may_link(F.col("na"), F.col("bits_a"), F.col("nb"), F.col("bits_b"), percent)
-    stars = stored(stars.join(left, "a").join(right, "b").where(close).select("a", "b"), "stars")
+    def close(pairs: DataFrame) -> DataFrame:
+        likely = may_link(F.col("na"), F.col("bits_a"), F.col("nb"), F.col("bits_b"), percent)
+        return pairs.join(left, "a").join(right, "b").where(likely).select("a", "b")
+
+    stars = stored(close(stars), "stars")
     wanted = bits.select(F.col("rep").alias("id"))
     texts = stored(
         need(docs, id_col, text_col).toDF("id", "text").join(wanted, "id", "left_semi").groupBy(F.col("id").alias("rep")).agg(
@@ -233,17 +238,29 @@ def near_duplicates(
     first = confirm(stars.groupBy("a").agg(F.min("b").alias("b")), texts, size, percent)
     links = stored(first, "links")
     labels = stored(components(links), "labels")
-    more = stored(confirm(_apart(stars, labels), texts, size, percent), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = stored(components(links), "labels")
-    rest = stored(confirm(_mixed_buckets(members, labels, bits, percent), texts, size, percent), "links")
-    if not rest.isEmpty():
-        links = links.unionByName(rest)
-        labels = stored(components(links), "labels")
+    # Members that agree in two bands in a row are closer than those of one bucket: a second, finer star.
+    tips = stored(members.groupBy("fine").agg(F.min("rep").alias("tip"), F.count("*").alias("k")).where("k > 1").select("fine", "tip"), "tips")
+    finer = members.join(tips, "fine").where("rep != tip").select(F.col("rep").alias("a"), F.col("tip").alias("b")).distinct()
+    second = stored(_apart(stars, labels).unionByName(close(_apart(finer, labels))).distinct(), "stars")
+    links, labels = _joined(links, labels, confirm(second, texts, size, percent))
+    # Between two components the likeliest pair first; only where it fails are the others looked at.
+    sets = stored(hashed_sets(texts, size), "sets")
+    rest = stored(_mixed_buckets(members, labels, bits, sets, percent), "mixed")
+    likeliest = rest.groupBy("component_a", "component_b").agg(F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b")).alias("p"))
+    links, labels = _joined(links, labels, confirm(likeliest.select("p.a", "p.b"), texts, size, percent))
+    links, labels = _joined(links, labels, confirm(_apart(rest.select("a", "b"), labels), texts, size, percent))
     return _labelled(signed, classes, labels)
 
 
+def _joined(links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and labels after more links."""
+    more = stored(more, "links")
+    if more.isEmpty():
+        return links, labels
+    links = links.unionByName(more)
+    return links, stored(components(links), "labels")
+
+
 def _repeated(signed: DataFrame) -> bool:
     """Does any doc_id occur twice?"""
     return not signed.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").isEmpty()
@@ -257,22 +274,47 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
 
 
-def _mixed_buckets(members: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the components of buckets that hold several."""
+def hashed_sets(texts: DataFrame, size: int) -> DataFrame:
+    """rep and 32-bit hashes of its whole shingle set."""
+
+    def make() -> Callable[..., Iterator[tuple]]:
+        signer = Signer(size)
+
+        def one(rep: int, text: str | None) -> Iterator[tuple]:
+            yield rep, (signer.hashes(text or "") & np.uint64(0x7FFFFFFF)).astype(np.int32)
+
+        return one
+
+    return map_rows(texts.select("rep", "text"), SETS, make)
+
+
+def _mixed_buckets(members: DataFrame, labels: DataFrame, bits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs across the components of buckets that hold several.
+
+    The join itself compares hashed sets, last of its tests, so that it only gives pairs that the texts will
+    confirm; two is added to what they share, as hashes may coincide.
+    """
     placed = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component"))
+        "bucket", "band", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1")
     largest = stored(largest.select("bucket", "largest"), "largest")
     mixed = stored(placed.join(largest, "bucket").join(bits, "rep"), "mixed")
-    minor = mixed.where("component != largest")
-    a, b = mixed.alias("a"), minor.alias("b")
+    whole = mixed.join(sets, "rep")
+    a, b = whole.alias("a"), whole.where("component != largest").alias("b")
     once = (F.col("a.component") == F.col("a.largest")) | (F.col("a.rep") < F.col("b.rep"))
     close = may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits"), percent)
-    return a.join(
-        b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component")) & once & close,
-    ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    # Of the bands that a pair shares only the first one gives it.
+    first = F.array_position(F.zip_with("a.bits", "b.bits", lambda x, y: x == y), True) == F.col("a.band") + 1
+    common = F.size(F.array_intersect("a.hashes", "b.hashes")) + 2
+    # Written with one use of what they share: a second one would be computed before the cheaper tests.
+    alike = common * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    pairs = a.join(
+        b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component")) & once & close & first & alike)
+    return pairs.select(
+        F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.col("a.component").alias("component_a"),
+        F.col("b.component").alias("component_b"), estimate(F.col("a.bits"), F.col("b.bits")).alias("estimate"))
 
 
 def _labelled(signed: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -27,7 +27,7 @@ BUCKETS = REPEAT + 1
 DIMENSIONS = 16
 EPOCHS = 6
 RATE = 0.5
-MAX_LABELLED = 5_000  # labelled rows at most that a model is fitted on
+MAX_LABELLED = 3_000  # labelled rows at most that a model is fitted on
 _STEP = 1 << 18  # code points hashed at once, so that long texts need little memory
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

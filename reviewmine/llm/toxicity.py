@@ -26,7 +26,7 @@ from .common import map_rows, need
 from .quality import labelled_sample
 
 BUCKETS = 1 << 20
-MAX_LABELLED = 8_000  # labelled rows at most that a chain is fitted on
+MAX_LABELLED = 6_000  # labelled rows at most that a chain is fitted on
 FOLDS = 3
 PREFIXES = (4, 5, 6)
 Z_LEAST = 5.0  # standard errors by which a word must be more frequent in a category

@@ -24,9 +24,19 @@ from ..functions.ratings import seeded_bucket
 from .features import hashing_stages
 
 
+def row_bucket(df: DataFrame, key: str, seed: int, buckets: int = 100) -> Column:
+    """Seeded bucket of the key, or of the whole row where the key is NULL."""
+    others = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    return F.coalesce(
+        seeded_bucket(F.col(key), seed, buckets), F.pmod(F.xxhash64(F.lit(seed), *others), F.lit(buckets)).cast("int"))
+
+
 def split_rows(df: DataFrame, key: str, train_percent: int = 70, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a seeded hash of the key; no shuffle, any engine agrees."""
-    bucket = seeded_bucket(F.col(key), seed)
+    """Train and test rows by a seeded hash of the key; no shuffle, any engine agrees.
+
+    Rows with a NULL key go by a hash of their other columns, so that every row is in one part.
+    """
+    bucket = row_bucket(df, key, seed)
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 
@@ -119,7 +129,7 @@ class CalibratedSVM:
 def fit_calibrated_svm(df: DataFrame, key: str, k: int, folds: int = 5, max_iter: int = 100,
                        seed: int = 42) -> CalibratedSVM:
     """Fold = seeded hash of the key. Targets are smoothed by the class sizes (Platt)."""
-    fold = seeded_bucket(F.col(key), seed, folds)
+    fold = row_bucket(df, key, seed, folds)
     rows = df.withColumn("_fold", fold)
     held = None
     for i in range(folds):

@@ -29,7 +29,9 @@ def error_rate(df: DataFrame, label: str = "label", prediction: str = "predictio
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("accuracy"))
+    """Share of labelled rows predicted right; as in the other reports, a NULL prediction is a miss."""
+    hit = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("int")
+    return df.where(F.col(label).isNotNull()).agg(F.avg(hit).alias("accuracy"))
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -136,7 +138,8 @@ def area_under_roc(df: DataFrame, label: str = "label", score: str = "score") ->
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("threshold")).agg(
+    # A row without score has no threshold and takes no part; one without label counts in neither class.
+    return df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
         F.sum((F.col(label) != 1).cast("bigint")).alias("neg"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+NULL_SALTS = 10_000  # NULL keys meet nothing and are spread
 
 
 def fits_broadcast(
@@ -29,11 +29,9 @@ def hot_keys(
 ) -> DataFrame:
     """Keys with too many rows for one task, and over how many tasks to spread each.
 
-    A key is hot above ``hot_rows`` and above a ten-thousandth of all rows, so
-    there are never more than MAX_HOT_KEYS of them.
+    A key is hot above ``hot_rows``, whatever the table's size, and no slice of it holds more.
     """
-    total = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), total / MAX_HOT_KEYS)
+    limit = F.lit(float(hot_rows))
     return counts.where(F.col(n) > limit).select(
         *on, F.ceil(F.col(n) / limit).cast("int").alias("_salts")
     )
@@ -69,11 +67,11 @@ def lookup_join(
         counts = table.select(*on, F.col(weight).alias("_n"))
     else:
         counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
-    hot = F.broadcast(hot_keys(counts, on, "_n", hot_rows))  # at most MAX_HOT_KEYS rows
+    hot = hot_keys(counts, on, "_n", hot_rows)  # one key in hot_rows rows at most; Spark chooses the join
     spread_by = list(salt_by) or [c for c in rows.columns if c not in on]
     salts = F.coalesce("_salts", F.lit(1))
     unmatched = F.greatest(*[F.col(c).isNull().cast("int") for c in on], F.lit(0)) == 1
-    row_salts = F.when(unmatched, MAX_HOT_KEYS).otherwise(salts)  # NULL keys meet nothing
+    row_salts = F.when(unmatched, NULL_SALTS).otherwise(salts)
     salted_rows = rows.join(hot, list(on), "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), row_salts).cast("int")
     )

@@ -218,6 +218,7 @@ def entity_frequency(df: DataFrame, entities: str = "entities") -> DataFrame:
 
 # Words that turn the next word's score, and the factor they apply.
 NEGATIONS = ("not", "no", "never", "cannot", "n't", "don't", "isn't", "wasn't", "doesn't", "didn't")
+CONTRACTIONS = "[A-Za-z]*[nN]['\u2019][tT]\\b"
 NEGATION_FACTOR = -0.5
 
 
@@ -229,7 +230,9 @@ def polarity(
     The word before each word is paired with it in place, so negation needs no
     window. ``lexicon`` has (word, score); ``key`` must be unique.
     """
-    words = df.select(key, X.word_tokens(F.col(text)).alias("_words"))
+    # The tokenizer parts words at apostrophes, so contractions of "not" are written out before.
+    plain = F.regexp_replace(F.col(text), CONTRACTIONS, " not ")
+    words = df.select(key, X.word_tokens(plain).alias("_words"))
     paired = F.arrays_zip(
         F.col("_words").alias("word"), F.concat(F.array(F.lit("")), "_words").alias("before")
     )

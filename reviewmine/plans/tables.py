@@ -9,12 +9,11 @@ from ..functions.ratings import rating_number, recommends
 from ..sources.tables import read_table
 
 
-def documents(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
-    columns = ["doc_id", "text", "lang", "source"]
-    return read_table(spark, folder, "documents", columns, "doc_id" if spread else None)
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
 
 
-def reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews; ratings hold NULL, 'N/A' and fractions besides whole stars."""
     doc = F.col("doc_id")
     rating = (
@@ -23,7 +22,7 @@ def reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame
         .when(doc % 17 == 0, "3.5")
         .otherwise(F.concat((1 + (doc * 7) % 5).cast("string"), F.lit(".0")))
     )
-    return documents(spark, folder, spread).select(
+    return documents(spark, folder).select(
         F.concat(F.lit("prod_"), (doc % 97).cast("string")).alias("id"),
         F.col("source").alias("asins"),
         F.col("lang").alias("brand"),

@@ -200,7 +200,8 @@ _NEGATION_SQL = ", ".join(quoted(w) for w in TX.NEGATIONS)
 
 @query("tx12_polarity", f"""
 with lexicon(word, score) as (values {_values(_LEXICON)}),
-t as (select doc_id, {words_sql('text')} w from documents),
+d as (select doc_id, regexp_replace(text, '[A-Za-z]*[nN][''\u2019][tT]\\b', ' not ', 'g') body from documents),
+t as (select doc_id, {words_sql('body')} w from d),
 e as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) p from t),
 b as (select *, lag(word) over (partition by doc_id order by p) prev from e),
 s as (select doc_id, avg(case when prev in ({_NEGATION_SQL}) then -0.5 * cast(score as double) else cast(score as double) end) m from b join lexicon using (word) group by doc_id)

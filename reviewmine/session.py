@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; the cluster's own values win where they are set.
@@ -22,7 +24,12 @@ def get_session(app: str = "reviewmine", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SCALE_CONF, **conf}.items():
+    active = SparkSession.getActiveSession()
+    given = SparkConf()
+    for key, value in SCALE_CONF.items():
+        if (active.conf.get(key, None) if active else given.get(key)) is None:
+            builder = builder.config(key, value)
+    for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -39,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.reviewmine.sharedDir", None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster is a cluster
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="run-")
     spark.conf.set("spark.reviewmine.sharedDir", path)

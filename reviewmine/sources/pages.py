@@ -226,8 +226,13 @@ def visited_pages(
 
 
 def merge_cards(details: DataFrame, cards: DataFrame, on: str = "product_url") -> DataFrame:
-    """Card price, rating and review count laid over the details of the same address."""
+    """Card price, rating and review count laid over the details of the same address.
+
+    An address that several cards name, as when a product is on two result pages, takes the smallest of them, so
+    no row of the details is repeated.
+    """
     fields = ["price", "rating", "review_count"]
     base = details.drop(*[f for f in fields if f in details.columns])
     linked = cards.where((F.col(on) != "N/A") & F.col(on).isNotNull())
-    return base.join(linked.select(on, *fields), on, "left")
+    card = linked.groupBy(on).agg(F.min(F.struct(*fields)).alias("_card")).select(on, "_card.*")
+    return base.join(card, on, "left")

@@ -5,21 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(
-    spark: SparkSession, folder: str, name: str, columns: list[str] | None = None,
-    spread_by: str | None = None,
-) -> DataFrame:
-    """One parquet table, only the named columns.
-
-    ``spread_by`` shuffles a table that lies in fewer files than there are
-    cores, so that text work on it uses them all; a table of many files is left
-    as it is.
-    """
+def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """One parquet table, only the named columns; tasks follow spark.sql.files.maxPartitionBytes."""
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    if spread_by:
-        cores = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < cores:
-            df = df.repartition(cores, spread_by)
-    return df
+    return df.select(*columns) if columns else df

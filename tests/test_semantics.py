@@ -8,11 +8,13 @@ from reviewmine.functions import ratings as RT
 from reviewmine.functions import text as X
 from reviewmine.functions.porter import stem_text, stem_tokens
 from reviewmine.functions.stopwords import ENGLISH
+from reviewmine.operators import classify as CL
 from reviewmine.operators import clean as C
 from reviewmine.operators import evaluate as E
 from reviewmine.operators import features as FE
 from reviewmine.operators import stats as S
 from reviewmine.operators import text as TX
+from reviewmine.sources import pages as PG
 
 RATINGS = ["4.0", "2.5", "3.5", "3", "x", "", None, "2.99", "5", "0"]
 
@@ -255,3 +257,25 @@ def test_vectorizer_equals_long_form(spark):
 def test_max_features_ties_go_by_spelling(spark):
     df = texts(spark, "bb aa cc").withColumn("w", X.word_tokens(F.col("t")))
     assert sorted(one(FE.vocabulary(df, "w", 2), "term")) == ["aa", "bb"]
+
+
+def test_negated_contractions_turn_scores(spark):
+    rows = spark.createDataFrame([(1, "I don't like it"), (2, "I like it"), (3, "isn’t good")], "id long, text string")
+    lexicon = spark.createDataFrame([("like", 1.0), ("good", 1.0)], "word string, score double")
+    got = {r.id: r["class"] for r in TX.polarity(rows, "id", "text", lexicon).collect()}
+    assert got == {1: "Négatif", 2: "Positif", 3: "Négatif"}
+
+
+def test_rows_without_key_or_score_follow_one_rule(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "key string, x long")
+    train, test = CL.split_rows(rows, "key")
+    assert train.count() + test.count() == 4
+    scored = spark.createDataFrame([(1.0, 0.9, 1.0), (0.0, 0.1, 0.0), (0.0, None, None)], "label double, score double, prediction double")
+    assert E.area_under_roc(scored).first().auc == 1.0
+    assert E.accuracy(scored).first().accuracy == pytest.approx(2 / 3)
+
+
+def test_cards_on_two_pages_do_not_repeat_details(spark):
+    details = spark.createDataFrame([("u", "d1"), ("v", "d2")], "product_url string, name string")
+    cards = spark.createDataFrame([("u", "1", "4", "9"), ("u", "1", "4", "9"), ("u", "2", "4", "9")], "product_url string, price string, rating string, review_count string")
+    assert sorted((r.product_url, r.price) for r in PG.merge_cards(details, cards).collect()) == [("u", "1"), ("v", None)]

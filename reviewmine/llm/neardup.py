@@ -146,7 +146,10 @@ def may_link(na: Column, a: Column, nb: Column, b: Column, percent: int) -> Colu
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are linked. ``texts``: one row (rep, text) per class."""
+    """Links (a, b) between components, from pairs of classes whose full shingle sets are linked.
+
+    ``pairs``: classes a and b with their components x and y, which become the link. ``texts``: one row (rep, text) per class.
+    """
     with_texts = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -160,37 +163,47 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
                 kept[rep] = shingle_set(text, size)
             return kept[rep]
 
-        def one(a: int, b: int, text_a: str, text_b: str) -> Iterator[tuple]:
+        def one(b: int, x: int, y: int, text_a: str, text_b: str) -> Iterator[tuple]:
             if linked(shingle_set(text_a, size), shingles(b, text_b), percent):
-                yield a, b
+                yield x, y
 
         return one
 
-    return map_rows(with_texts.select("a", "b", "text_a", "text_b"), PAIR, make)
+    return map_rows(with_texts.select("b", "x", "y", "text_a", "text_b"), PAIR, make)
 
 
 def components(links: DataFrame) -> DataFrame:
     """Smallest id reachable from each id that occurs in ``links`` (a, b): columns id, component.
 
-    Alternates the two star steps over stored tables; every id ends as a neighbour of its smallest one. The
-    number of rounds grows with the logarithm of the size.
+    Each id hooks onto its smallest neighbour where that is smaller; the trees are flattened to their roots, links are
+    drawn between the roots, and what then still links two roots goes round again. Every table is stored, so that the
+    joins are plain shuffles, which Spark can split where an id is hot.
     """
-    edges = stored(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    named = None
+    while named is None or not links.isEmpty():
+        edges = stored(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Stored, so that both sides of the joins are plain shuffles, which Spark can split where an id is hot.
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = stored(large, "large")
-        down = stored(large.groupBy("u").agg(F.min("v").alias("m")), "down")
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(
-            down.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
-        before = now
+        roots = _roots(stored(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v")), "parents"))
+        named = roots.toDF("id", "component") if named is None else _renamed(named, roots)
+        links = edges.join(roots.toDF("u", "a"), "u").join(roots.toDF("v", "b"), "v").where("a != b").select("a", "b").distinct()
+        links = stored(links, "links")
+    return named
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """Each id u with the root v of its tree; a root is its own parent. Paths halve with every turn."""
+    while True:
+        above = parents.toDF("v", "w")
+        raised = stored(parents.join(above, "v").select("u", F.col("w").alias("v"), (F.col("w") != F.col("v")).alias("moved")), "roots")
+        parents = raised.select("u", "v")
+        if raised.where("moved").isEmpty():
+            return parents
+
+
+def _renamed(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after components were merged: ``merged`` is component, new component."""
+    out = labels.join(merged.toDF("component", "_to"), "component", "left")
+    return stored(out.select("id", F.coalesce("_to", "component").alias("component")), "labels")
 
 
 def near_duplicates(
@@ -222,9 +235,10 @@ def near_duplicates(
     bits = stored(bits, "bits")
     left, right = bits.toDF("a", "na", "bits_a"), bits.toDF("b", "nb", "bits_b")
     stars = members.where("rep != center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-    def close(pairs: DataFrame) -> DataFrame:
+
+    def close(pairs: DataFrame, *more: str) -> DataFrame:
         likely = may_link(F.col("na"), F.col("bits_a"), F.col("nb"), F.col("bits_b"), percent)
-        return pairs.join(left, "a").join(right, "b").where(likely).select("a", "b")
+        return pairs.join(left, "a").join(right, "b").where(likely).select("a", "b", *more)
 
     stars = stored(close(stars), "stars")
     wanted = bits.select(F.col("rep").alias("id"))
@@ -235,30 +249,27 @@ def near_duplicates(
         "texts",
     )
     # One edge a member first: it settles most of a group, so that few other pairs need their texts.
-    first = confirm(stars.groupBy("a").agg(F.min("b").alias("b")), texts, size, percent)
-    links = stored(first, "links")
-    labels = stored(components(links), "labels")
+    first = stars.groupBy("a").agg(F.min("b").alias("b")).withColumns({"x": F.col("a"), "y": F.col("b")})
+    labels = _joined(wanted.withColumn("component", F.col("id")), confirm(first, texts, size, percent))
     # Members that agree in two bands in a row are closer than those of one bucket: a second, finer star.
     tips = stored(members.groupBy("fine").agg(F.min("rep").alias("tip"), F.count("*").alias("k")).where("k > 1").select("fine", "tip"), "tips")
     finer = members.join(tips, "fine").where("rep != tip").select(F.col("rep").alias("a"), F.col("tip").alias("b")).distinct()
-    second = stored(_apart(stars, labels).unionByName(close(_apart(finer, labels))).distinct(), "stars")
-    links, labels = _joined(links, labels, confirm(second, texts, size, percent))
+    second = _apart(stars, labels).unionByName(close(_apart(finer, labels), "x", "y")).distinct()
+    labels = _joined(labels, confirm(stored(second, "stars"), texts, size, percent))
     # Between two components the likeliest pair first; only where it fails are the others looked at.
     sets = stored(hashed_sets(texts, size), "sets")
     rest = stored(_mixed_buckets(members, labels, bits, sets, percent), "mixed")
-    likeliest = rest.groupBy("component_a", "component_b").agg(F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b")).alias("p"))
-    links, labels = _joined(links, labels, confirm(likeliest.select("p.a", "p.b"), texts, size, percent))
-    links, labels = _joined(links, labels, confirm(_apart(rest.select("a", "b"), labels), texts, size, percent))
+    if not rest.isEmpty():
+        likeliest = rest.groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b")).alias("p"))
+        labels = _joined(labels, confirm(likeliest.select("p.a", "p.b", "x", "y"), texts, size, percent))
+        labels = _joined(labels, confirm(_apart(rest.select("a", "b"), labels), texts, size, percent))
     return _labelled(signed, classes, labels)
 
 
-def _joined(links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and labels after more links."""
-    more = stored(more, "links")
-    if more.isEmpty():
-        return links, labels
-    links = links.unionByName(more)
-    return links, stored(components(links), "labels")
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links between components."""
+    links = stored(links, "links")
+    return labels if links.isEmpty() else _renamed(labels, components(links))
 
 
 def _repeated(signed: DataFrame) -> bool:
@@ -267,11 +278,9 @@ def _repeated(signed: DataFrame) -> bool:
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    own = labels.toDF("a", "component_a")
-    other = labels.toDF("b", "component_b")
-    return pairs.join(own, "a", "left").join(other, "b", "left").where(
-        F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
+    """Pairs whose ends are not yet in one component, with their components x and y."""
+    named = pairs.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b")
+    return named.where("x != y").select("a", "b", "x", "y")
 
 
 def hashed_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -294,8 +303,7 @@ def _mixed_buckets(members: DataFrame, labels: DataFrame, bits: DataFrame, sets:
     The join itself compares hashed sets, last of its tests, so that it only gives pairs that the texts will
     confirm; two is added to what they share, as hashes may coincide.
     """
-    placed = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "bucket", "band", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.join(labels.withColumnRenamed("id", "rep"), "rep").select("bucket", "band", "rep", "component")
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1")
@@ -313,8 +321,8 @@ def _mixed_buckets(members: DataFrame, labels: DataFrame, bits: DataFrame, sets:
     pairs = a.join(
         b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component")) & once & close & first & alike)
     return pairs.select(
-        F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.col("a.component").alias("component_a"),
-        F.col("b.component").alias("component_b"), estimate(F.col("a.bits"), F.col("b.bits")).alias("estimate"))
+        F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.col("a.component").alias("x"),
+        F.col("b.component").alias("y"), estimate(F.col("a.bits"), F.col("b.bits")).alias("estimate"))
 
 
 def _labelled(signed: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -33,6 +33,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGITS = re.compile(r"[0-9]+")
+# What IP finds: a match takes whole runs of digits, so only the start of a run is tried, which keeps long runs linear.
+_IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _TOKEN = re.compile(r"\S+")
 _TRIM = ".,;:!?\"'()[]{}<>«»“”"
 
@@ -65,8 +67,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     spans = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGITS.search(text) is None:
         return spans
-    for m in IP.finditer(text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+    for m in _IP_RUNS.finditer(text):
+        if all(len(n) <= 3 and int(n or 0) <= 255 for n in (p.lstrip("0") for p in m[0].split("."))):
             spans.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
@@ -45,9 +46,12 @@ BAD_WORDS = frozenset(
 GOOD_WORDS = frozenset("article body content entry main page post story text".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    # Quotes count only behind an equals sign, and a tag without end goes on to the end of the page, as in browsers.
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ZEROS = re.compile(r"&#0+(?=[0-9])")
+_TOO_LARGE = re.compile(r"&#[0-9]{8,};?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _END_OF_SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
@@ -63,10 +67,17 @@ class Node:
         self.score: float | None = None
 
 
+def decoded(text: str) -> str:
+    """Character references decoded; numbers of any length are, those beyond Unicode become U+FFFD."""
+    if "&#" in text:
+        text = _TOO_LARGE.sub("\ufffd", _ZEROS.sub("&#", text))
+    return html.unescape(text)
+
+
 def _attributes(source: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, a, b, c in _ATTRIBUTE.findall(source):
-        out.setdefault(name.lower(), html.unescape(a or b or c))
+        out.setdefault(name.lower(), decoded(a or b or c))
     return out
 
 
@@ -88,7 +99,8 @@ def _element(tag: str, source: str, parent: Node, in_article: bool) -> Node:
 def parse(source: str) -> Node:
     """Element tree of a page; broken markup is read the way browsers do in the common cases."""
     root = Node("#root", None)
-    open_nodes, articles, at = [root], 0, 0
+    open_nodes, at = [root], 0
+    count: Counter[str] = Counter()  # open elements by tag
     find, length = _TAG.search, len(source)
     while at < length:
         match = find(source, at)
@@ -104,7 +116,7 @@ def parse(source: str) -> Node:
             continue
         tag = name.lower()
         if closing:
-            depth = len(open_nodes) - 1
+            depth = len(open_nodes) - 1 if count[tag] else 0
             while depth and open_nodes[depth].tag != tag:
                 # A block is not closed from within another by an inline end tag.
                 if tag in INLINE and open_nodes[depth].tag not in INLINE:
@@ -115,26 +127,25 @@ def parse(source: str) -> Node:
                     break
                 depth -= 1
             if depth:
-                articles -= sum(n.tag in ("article", "main") for n in open_nodes[depth:])
-                del open_nodes[depth:]
+                _end(open_nodes, count, depth)
             continue
         if tag in CLOSES_P:
-            _close(open_nodes, ("p",), ("div", "td", "th", "li", "table", "button", "section", "article", "blockquote"))
+            _close(open_nodes, count, ("p",), ("div", "td", "th", "li", "table", "button", "section", "article", "blockquote"))
         if tag == "li":
-            _close(open_nodes, ("li",), ("ul", "ol", "menu"))
+            _close(open_nodes, count, ("li",), ("ul", "ol", "menu"))
         elif tag in ("dd", "dt"):
-            _close(open_nodes, ("dd", "dt"), ("dl",))
+            _close(open_nodes, count, ("dd", "dt"), ("dl",))
         elif tag in ("td", "th"):
-            _close(open_nodes, ("td", "th"), ("tr", "table"))
+            _close(open_nodes, count, ("td", "th"), ("tr", "table"))
         elif tag == "tr":
-            _close(open_nodes, ("tr",), ("table",))
+            _close(open_nodes, count, ("tr",), ("table",))
         elif tag == "option":
-            _close(open_nodes, ("option",), ("select",))
+            _close(open_nodes, count, ("option",), ("select",))
         elif tag == "body":
-            _close(open_nodes, ("head",), ())
+            _close(open_nodes, count, ("head",), ())
         elif tag in HEADINGS and open_nodes[-1].tag in HEADINGS:
-            open_nodes.pop()
-        node = _element(tag, attributes, open_nodes[-1], articles > 0)
+            _end(open_nodes, count, len(open_nodes) - 1)
+        node = _element(tag, attributes, open_nodes[-1], count["article"] + count["main"] > 0)
         open_nodes[-1].children.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "math", "path"):
             continue
@@ -143,16 +154,24 @@ def parse(source: str) -> Node:
             at = end.end() if end else length
             continue
         open_nodes.append(node)
-        articles += tag in ("article", "main")
+        count[tag] += 1
     return root
 
 
-def _close(open_nodes: list[Node], tags: tuple[str, ...], barriers: tuple[str, ...]) -> None:
+def _end(open_nodes: list[Node], count: Counter[str], depth: int) -> None:
+    """End the open element at a depth and all within it."""
+    count.subtract(n.tag for n in open_nodes[depth:])
+    del open_nodes[depth:]
+
+
+def _close(open_nodes: list[Node], count: Counter[str], tags: tuple[str, ...], barriers: tuple[str, ...]) -> None:
     """End the nearest open element of ``tags``, unless a barrier lies before it."""
+    if not any(count[t] for t in tags):
+        return
     for depth in range(len(open_nodes) - 1, 0, -1):
         tag = open_nodes[depth].tag
         if tag in tags:
-            del open_nodes[depth:]
+            _end(open_nodes, count, depth)
             return
         if tag in barriers:
             return
@@ -189,7 +208,7 @@ def _blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
                 parts.append(" ")
             if element.tag not in INLINE:
                 if parts:
-                    text = " ".join(html.unescape("".join(parts)).split())
+                    text = " ".join(decoded("".join(parts)).split())
                     if text:
                         yield owner, text, min(linked, len(text))
                     parts, linked = [], 0
@@ -201,7 +220,7 @@ def _blocks(node: Node) -> Iterator[tuple[Node, str, int]]:
             parts.append(kind)
             if links:
                 linked += len(kind.strip())
-    text = " ".join(html.unescape("".join(parts)).split())
+    text = " ".join(decoded("".join(parts)).split())
     if text:
         yield owner, text, min(linked, len(text))
 
@@ -218,11 +237,8 @@ def best_container(root: Node) -> tuple[Node | None, dict[int, tuple[int, int]]]
     sums: dict[int, tuple[int, int]] = {}
     candidates: dict[int, Node] = {}
     for owner, text, linked in _blocks(root):
-        above: Node | None = owner
-        while above is not None:
-            have = sums.get(id(above), (0, 0))
-            sums[id(above)] = (have[0] + len(text), have[1] + linked)
-            above = above.parent
+        have = sums.get(id(owner), (0, 0))
+        sums[id(owner)] = (have[0] + len(text), have[1] + linked)
         if owner.tag not in PARAGRAPHS or linked > 0.5 * len(text):
             continue
         points = 1.0 + text.count(",") + text.count("、") + text.count("，") + min(len(text) / 100, 3.0)
@@ -236,6 +252,11 @@ def best_container(root: Node) -> tuple[Node | None, dict[int, tuple[int, int]]]
             holder, level = holder.parent, level + 1
             if level > 5:
                 break
+    # From the inside out, every element adds its sum to its parent's.
+    for node in reversed([element for kind, element in _walk(root) if kind == "open"]):
+        if id(node) in sums and node.parent is not None:
+            have, own = sums.get(id(node.parent), (0, 0)), sums[id(node)]
+            sums[id(node.parent)] = (have[0] + own[0], have[1] + own[1])
     best, top = None, float("-inf")
     for key, node in candidates.items():
         size, linked = sums[key]

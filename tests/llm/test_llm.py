@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -89,6 +90,23 @@ def test_main_text_edges(spark):
     assert maintext.extract_pages(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<!" * 200_000, "<a" * 200_000, '<a href="' * 30_001, "<form>" * 30_000 + "text", "<center>" * 30_000 + "</x>" * 30_000,
+    "<div>x, y " * 30_000,
+], ids=["declarations", "open tags", "open quotes", "forms", "stray ends", "deep blocks"])
+def test_main_text_time_is_linear(page):
+    began = time.process_time()
+    maintext.main_blocks(page)
+    assert time.process_time() - began < 5
+
+
+def test_main_text_references_and_quotes():
+    text = "A sentence that is long enough, with commas, to be an article. " * 3
+    page = f"<article><p title=it's>{text}&#{'0' * 5000}65;&#{'9' * 5000};&#x41;</p><p>{text}</p></article>"
+    assert maintext.main_blocks(page) == [f"{text}A\ufffdA", text.strip()]
+    assert maintext.main_blocks(f'<article><p>{text}</p></article><p class="x') == [text.strip()]
+
+
 def test_topk_is_brute_force_with_ties_and_bad_rows(spark):
     draw = random.Random(5)
     rows = [(i, [draw.choice([-0.5, 0.0, 0.25, 1.0]) for _ in range(6)], "x") for i in range(300)]
@@ -142,6 +160,18 @@ def test_pii_base_is_the_plain_patterns():
         ("email", "a@b.c"), ("ip", "1.2.3.4"), ("card", "4532015112830366"), ("phone", "+1 (988) 555-2485")]
 
 
+def test_pii_long_digits():
+    began = time.process_time()
+    assert pii.base_spans("1" * 300_000) == [] and pii.base_spans("9" * 5000 + ".1.1.1") == []
+    assert pii.base_spans("0" * 5000 + "7.1.2.255") == [("ip", 0, 5009)]
+    assert time.process_time() - began < 5
+    draw = random.Random(3)
+    for _ in range(5_000):
+        text = "".join(draw.choices("129.0 a", weights=[3, 3, 3, 6, 3, 1, 1], k=draw.randint(0, 40)))
+        plain = [m.span() for m in pii.IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [s[1:] for s in pii.base_spans(text) if s[0] == "ip"] == plain
+
+
 def test_pii_contexts_find_unseen_identifiers(spark, edges, nothing):
     rows = [(i, f"some words then contact mail user{i}@mail.example.com and more") for i in range(12)]
     rows += [(100, "please contact mail user77-at-host today"), (101, "in year 1990s it was"), (102, "again user77-at-host came")]

@@ -148,7 +148,7 @@ def _(spark, folder):
 @query("ex3_page_links", r"""
 select page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">', 1)) as target from pages""")
 def _(spark, folder):
-    pages = read_table(spark, folder, "pages", ["page_id", "html"], "page_id")
+    pages = read_table(spark, folder, "pages", ["page_id", "html"])
     return pages.select("page_id", F.explode(P.link_targets(F.col("html"))).alias("target"))
 
 
@@ -255,12 +255,12 @@ decoded as (select page_id, replace(replace(replace(replace(replace(replace(h, '
    '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&') h from bare)
 select page_id, {clean('h')} as title from decoded""")
 def _(spark, folder):
-    pages = read_table(spark, folder, "pages", ["page_id", "html"], "page_id")
+    pages = read_table(spark, folder, "pages", ["page_id", "html"])
     return pages.select("page_id", P.page_title(F.col("html")).alias("title"))
 
 
 @query("ex11_page_text", None)
 def _(spark, folder):
-    pages = read_table(spark, folder, "pages", ["page_id", "html"], "page_id")
+    pages = read_table(spark, folder, "pages", ["page_id", "html"])
     body = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
     return pages.select("page_id", visible_text(body).alias("body"))

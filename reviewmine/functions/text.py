@@ -40,7 +40,12 @@ def tokens(text: Column) -> Column:
     Leading and inner empty tokens stay, trailing ones go, '' gives [''], an
     all-blank text gives []. NULL gives [] instead of an error.
     """
-    body = F.rtrim(F.lower(text), F.lit(BLANKS))
+    return raw_tokens(F.lower(text))
+
+
+def raw_tokens(text: Column) -> Column:
+    """As ``tokens``, in the text's own case."""
+    body = F.rtrim(text, F.lit(BLANKS))
     return (
         F.when(text.isNull() | ((body == "") & (text != "")), empty_tokens())
         .otherwise(F.split(body, f"[{BLANKS}]"))

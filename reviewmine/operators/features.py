@@ -109,19 +109,23 @@ def tfidf_terms(
 # ---- vectors for models ----------------------------------------------------------------
 
 
+MODEL_TERMS = 1 << 20  # terms that a model's arrays on the driver are sized for
+
+
 def word_tokenizer(text: str, out: str = "words") -> RegexTokenizer:
     """Stage form of the word tokenizer."""
     return RegexTokenizer(inputCol=text, outputCol=out, pattern=X.WORD_PATTERN, gaps=False)
 
 
 def fit_vectorizer(
-    df: DataFrame, text: str, size: int = 5000, min_df: int = 1, max_df: float = 1.0,
+    df: DataFrame, text: str, size: int | None = 5000, min_df: int = 1, max_df: float = 1.0,
     stopwords: Sequence[str] | None = None, tfidf: bool = True, out: str = "features",
 ) -> tuple[PipelineModel, list[str]]:
     """Count or TF-IDF vectorizer as a fitted pipeline, with its vocabulary.
 
-    One aggregation gives terms and idf; at most ``size`` of them come to the
-    driver, because a model has to carry them.
+    ``size`` keeps the most frequent terms, None all that pass the limits. One aggregation gives
+    terms and idf, which come to the driver, because a model has to carry them. So more than
+    MODEL_TERMS are refused, never cut: raise ``min_df`` or take ``hashing_stages``.
     """
     words = X.word_tokens(F.col(text))
     stages = [
@@ -133,7 +137,12 @@ def fit_vectorizer(
         stages.append(StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=list(stopwords)))
     source = "_kept" if stopwords else "_words"
     terms = vocabulary(df.select(words.alias("_w")), "_w", size, min_df, max_df)
-    rows = terms.select("term", "idf").collect()  # at most ``size`` rows
+    if size is None:
+        terms = terms.orderBy(F.desc("tf"), "term").limit(MODEL_TERMS + 1)
+    rows = terms.select("term", "idf").collect()  # at most ``size`` or MODEL_TERMS + 1 rows
+    if size is None and len(rows) > MODEL_TERMS:
+        n = vocabulary(df.select(words.alias("_w")), "_w", None, min_df, max_df).count()
+        raise ValueError(f"{n} terms are too many for a model; raise min_df or use hashing_stages")
     if not rows:
         raise ValueError("no term is left; lower min_df or raise max_df")
     names = [r["term"] for r in rows]
@@ -188,25 +197,17 @@ def label_indexer(df: DataFrame, column: str, out: str = "label"):
 # ---- truncated SVD ---------------------------------------------------------------------
 
 
-GRAMIAN_TERMS = 4096  # up to here terms x terms numbers are cheap to hold
-
-
 def truncated_svd(vectors: DataFrame, features: str, terms: Sequence[str], k: int = 50):
     """Right singular vectors as (term, v array<double>) and the singular values.
 
     No centring. Signs are fixed so that the largest entry of each vector is positive.
-    A usual vocabulary takes one pass that sums the terms x terms products and a
-    small eigenproblem; a larger one is solved iteratively over the rows.
+    ``vectors`` should be persisted: the solver passes over the rows repeatedly. It gives
+    fewer than ``k`` vectors where the rows have a lower rank.
     """
     rows = MLUtils.convertVectorColumnsFromML(vectors.select(features), features)
     matrix = RowMatrix(rows, numCols=len(terms))
-    if len(terms) <= GRAMIAN_TERMS:
-        values, v = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-        strongest = np.argsort(-values, kind="stable")[:k]
-        v, singular = v[:, strongest], np.sqrt(np.clip(values[strongest], 0.0, None))
-    else:
-        svd = matrix.computeSVD(k, computeU=False)
-        v, singular = svd.V.toArray(), svd.s.toArray()
+    svd = matrix.computeSVD(min(k, len(terms)), computeU=False)
+    v, singular = svd.V.toArray(), svd.s.toArray()
     tops = np.abs(v).argmax(axis=0)
     v = v * np.sign(v[tops, np.arange(v.shape[1])])
     table = vectors.sparkSession.createDataFrame(

@@ -158,29 +158,35 @@ def pattern_entities(
     return df.withColumn(out, F.concat(*[found(*item) for item in patterns.items()]))
 
 
+EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"  # punctuation around a phrase
+
+
 def gazetteer_entities(
     df: DataFrame, key: str, text: str, gazetteer: DataFrame, max_words: int = 3, out: str = "entities"
 ) -> DataFrame:
     """Entities by dictionary (phrase, label) over 1- to n-grams, ignoring case.
 
+    An n-gram is looked up as it stands and without the punctuation around it, and the entity keeps the text's spelling.
     One (key, out) row per text, in text order; a text without a hit has [].
     Only hits are collected, so the shuffle carries one small row per text.
     """
-    tokens = df.select(key, X.tokens(F.col(text)).alias("_tokens"))
+    tokens = df.select(key, X.raw_tokens(F.col(text)).alias("_tokens"))
     shifted = [F.slice("_tokens", F.lit(i + 1), F.size("_tokens")) for i in range(max_words)]
     windows = F.arrays_zip(*[s.alias(f"_t{i}") for i, s in enumerate(shifted)])
     starts = tokens.select(key, F.posexplode_outer(windows).alias("pos", "_w"))
-    phrases = [
-        F.when(F.col(f"_w._t{n}").isNotNull(), F.concat_ws(" ", *[F.col(f"_w._t{i}") for i in range(n + 1)]))
-        for n in range(max_words)
-    ]
-    grams = starts.select(key, "pos", F.explode(F.array(*phrases)).alias("phrase"))
-    table = gazetteer.select(F.lower("phrase").alias("phrase"), "label").groupBy("phrase").agg(
+    spans = []
+    for n in range(max_words):
+        whole = F.concat_ws(" ", *[F.col(f"_w._t{i}") for i in range(n + 1)])
+        spans.append(F.when(F.col(f"_w._t{n}").isNotNull(), F.array_distinct(F.array(whole, F.regexp_replace(whole, EDGES, "")))))
+    # The empty phrase, which no table holds, keeps a row for every text.
+    found = F.concat(F.array(F.lit("")), *[F.coalesce(s, F.array().cast("array<string>")) for s in spans])
+    grams = starts.select(key, "pos", F.explode(found).alias("span")).withColumn("phrase", F.lower("span"))
+    table = gazetteer.where("phrase <> ''").select(F.lower("phrase").alias("phrase"), "label").groupBy("phrase").agg(
         F.min("label").alias("label")
     )
     hits = lookup_join(grams, table, ["phrase"], salt_by=[key, "pos"])
     entry = F.when(
-        F.col("label").isNotNull(), F.struct("pos", F.col("phrase").alias("text"), "label")
+        F.col("label").isNotNull(), F.struct("pos", F.col("span").alias("text"), "label")
     )
     grouped = hits.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_hits"))
     return grouped.select(

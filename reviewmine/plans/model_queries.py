@@ -1,7 +1,6 @@
-"""Classifiers, recommendation, topics and clusters over whole tables.
+"""Classifiers, recommendation, topics and clusters over whole tables, with the operators' full settings.
 
-Rounds, ranks and vocabulary sizes are small here so that a check is quick; the
-operators' defaults are the full settings.
+Boosted trees alone have fewer terms and rounds: see the README.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from .sql_text import kept, words as words_sql
 
 
 def _quality(spark, folder):
-    """(doc_id, text, label): filtered, stemmed texts of judged documents."""
+    """(doc_id, text, label): filtered texts of judged documents."""
     labels = read_table(spark, folder, "labels", ["doc_id", "quality"])
     words = remove_stopwords(tokens(F.col("text")))
     docs = T.documents(spark, folder).join(labels, "doc_id")
@@ -36,7 +35,7 @@ def _quality(spark, folder):
     )
 
 
-def _language(spark, folder, size=300):
+def _language(spark, folder, size=5000):
     """TF-IDF vectors of all documents with the language as class."""
     docs = T.documents(spark, folder).select("doc_id", "text", "lang")
     model, terms = FE.fit_vectorizer(docs, "text", size)
@@ -52,7 +51,7 @@ def _rounded(values):
 @query("ml1_hashing_classifier")
 def _(spark, folder):
     rows = _quality(spark, folder)
-    model = M.fit_hashing_lr(rows, buckets=1 << 14)
+    model = M.fit_hashing_lr(rows)
     scored = model.transform(rows)
     return scored.select(
         "doc_id", "label", "prediction", F.round(F.get(vector_to_array("probability"), F.lit(1)), 6).alias("p")
@@ -63,7 +62,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows, _, _, _ = _language(spark, folder)
     train, test = M.split_rows(rows, "doc_id")
-    model = M.fit_multinomial_lr(train, max_iter=20)
+    model = M.fit_multinomial_lr(train)
     return E.classification_report(model.transform(test))
 
 
@@ -78,22 +77,22 @@ def _(spark, folder):
 
 @query("ml4_linear_svm")
 def _(spark, folder):
-    rows, _, _, _ = _language(spark, folder, 200)
+    rows, _, _, _ = _language(spark, folder)
     train, test = M.split_rows(rows, "doc_id")
-    return M.score_classes(M.fit_svm(train, max_iter=5), test).select("doc_id", "label", "prediction")
+    return M.score_classes(M.fit_svm(train), test).select("doc_id", "label", "prediction")
 
 
 @query("ml5_calibrated_svm")
 def _(spark, folder):
-    rows, _, labels, _ = _language(spark, folder, 100)
-    model = M.fit_calibrated_svm(rows, "doc_id", len(labels), folds=2, max_iter=3)
+    rows, _, labels, _ = _language(spark, folder)
+    model = M.fit_calibrated_svm(rows, "doc_id", len(labels))
     return model.transform(rows).select("doc_id", "label", _rounded("probabilities").alias("probabilities"))
 
 
 @query("ml7_probability_map")
 def _(spark, folder):
     rows, _, labels, _ = _language(spark, folder)
-    scored = M.fit_multinomial_lr(rows, max_iter=10).transform(rows)
+    scored = M.fit_multinomial_lr(rows).transform(rows)
     named = M.probability_map(scored, labels)
     return named.select("doc_id", F.explode("probabilities").alias("class", "p")).withColumn("p", F.round("p", 6))
 
@@ -101,8 +100,8 @@ def _(spark, folder):
 @query("ml8_stream_scores", """
 select conv_id, turn, true as same_as_batch from conversations where text is not null and trim(text) <> ''""")
 def _(spark, folder):
-    rows, _, _, vectorizer = _language(spark, folder, 200)
-    model = M.fit_multinomial_lr(rows, max_iter=5)
+    rows, _, _, vectorizer = _language(spark, folder)
+    model = M.fit_multinomial_lr(rows)
 
     def score(df):
         return model.transform(vectorizer.transform(df)).select("conv_id", "turn", "prediction")
@@ -128,8 +127,8 @@ def _(spark, folder):
 
 @query("ml10_cross_validation")
 def _(spark, folder):
-    rows, _, _, _ = _language(spark, folder, 100)
-    _, table = M.search_lr(rows, regs=(0.01, 1.0), folds=2, max_iter=3)
+    rows, _, _, _ = _language(spark, folder)
+    _, table = M.search_lr(rows)
     return spark.createDataFrame(
         [(r["regParam"], r["accuracy"]) for r in table], "reg double, accuracy double"
     )
@@ -138,7 +137,7 @@ def _(spark, folder):
 # ---- recommendation --------------------------------------------------------------------
 
 
-def _recommender(spark, folder, rank=5, iters=3):
+def _recommender(spark, folder, rank=5, iters=5):
     triples, users, items = RC.rating_triples(T.ratings(spark, folder), "user", "item", "rating")
     triples = triples.persist()
     return RC.Recommender(RC.als(rank, iters, 0.05).fit(triples), users, items), triples
@@ -165,7 +164,7 @@ def _(spark, folder):
 @query("rc3_als_grid")
 def _(spark, folder):
     triples, _, _ = RC.rating_triples(T.ratings(spark, folder), "user", "item", "rating")
-    _, table = RC.search_als(triples.persist(), ranks=(2, 5), iters=(2,), regs=(0.05, 1.0), folds=2)
+    _, table = RC.search_als(triples.persist())
     rows = [(r["rank"], r["maxIter"], r["regParam"], r["rmse"]) for r in table]
     return spark.createDataFrame(rows, "rank int, max_iter int, reg double, rmse double")
 
@@ -175,7 +174,7 @@ def _(spark, folder):
     triples, _, _ = RC.rating_triples(T.ratings(spark, folder), "user", "item", "rating")
     keyed = triples.withColumn("_k", F.concat_ws("|", "u", "i")).persist()
     train, test = M.split_rows(keyed, "_k", 80, 0)
-    scored = RC.predict_ratings(RC.als(5, 3).fit(train), test)
+    scored = RC.predict_ratings(RC.als().fit(train), test)
     return E.regression_metrics(scored, "r", "prediction")
 
 
@@ -208,7 +207,7 @@ def _(spark, folder):
 # ---- topics and clusters ---------------------------------------------------------------
 
 
-def _counts(spark, folder, size=500, tfidf=False):
+def _counts(spark, folder, size=None, tfidf=False):
     docs = T.documents(spark, folder).select("doc_id", "text")
     model, terms = FE.fit_vectorizer(docs, "text", size, 5, 0.9, ENGLISH, tfidf=tfidf)
     return model.transform(docs).select("doc_id", "features").persist(), terms
@@ -217,26 +216,26 @@ def _counts(spark, folder, size=500, tfidf=False):
 @query("un1_topic_model")
 def _(spark, folder):
     rows, _ = _counts(spark, folder)
-    model = U.fit_topics(rows, k=4, max_iter=5)
+    model = U.fit_topics(rows)
     return model.transform(rows).select("doc_id", _rounded(vector_to_array("topicDistribution")).alias("shares"))
 
 
 @query("un2_topic_words")
 def _(spark, folder):
     rows, terms = _counts(spark, folder)
-    return U.topic_words(U.fit_topics(rows, k=4, max_iter=5), terms, 15)
+    return U.topic_words(U.fit_topics(rows), terms, 15)
 
 
 @query("un3_dominant_topic")
 def _(spark, folder):
     rows, _ = _counts(spark, folder)
-    return U.dominant_topic(U.fit_topics(rows, k=4, max_iter=5), rows).select("doc_id", "topic", F.round("share", 6).alias("share"))
+    return U.dominant_topic(U.fit_topics(rows), rows).select("doc_id", "topic", F.round("share", 6).alias("share"))
 
 
 @query("un4_clusters")
 def _(spark, folder):
-    rows, _ = _counts(spark, folder, 300, True)
-    model = U.fit_clusters(rows, k=4, restarts=3, max_iter=5)
+    rows, _ = _counts(spark, folder, None, True)
+    model = U.fit_clusters(rows)
     return model.transform(rows).select("doc_id", F.col("prediction").alias("cluster"))
 
 
@@ -269,14 +268,14 @@ def _svd(spark, folder, size, k):
 
 @query("fe8_truncated_svd")
 def _(spark, folder):
-    _, points = _svd(spark, folder, 200, 10)
+    _, points = _svd(spark, folder, None, 50)
     return points.select("doc_id", _rounded("point").alias("point"))
 
 
 @query("fe9_document_map")
 def _(spark, folder):
-    rows, points = _svd(spark, folder, 200, 2)
-    clusters = U.fit_clusters(rows, k=4, restarts=2, max_iter=5).transform(rows).select(
+    rows, points = _svd(spark, folder, None, 2)
+    clusters = U.fit_clusters(rows).transform(rows).select(
         "doc_id", F.col("prediction").alias("cluster")
     )
     return FE.document_map(points, "doc_id", clusters, 1000)

@@ -54,11 +54,14 @@ def cloud_words(
 
 
 def topic_report(
-    reviews: DataFrame, key: str, text: str = "review_text", k: int = 8, size: int = 2000, words: int = 15,
+    reviews: DataFrame, key: str, text: str = "review_text", k: int = 8, size: int | None = None, words: int = 15,
     max_iter: int = 20, restarts: int = 10, sample: int = 1000, seed: int = 42,
     stopwords: Sequence[str] = ENGLISH,
 ) -> dict[str, DataFrame]:
-    """Topics and clusters with their words, one label of each per review, and a 2-D sample map."""
+    """Topics and clusters with their words, one label of each per review, and a 2-D sample map.
+
+    ``size`` limits the vocabulary; without it every term between the text limits takes part.
+    """
     rows = reviews.select(key, text)
     limits = {"size": size, "min_df": 5, "max_df": 0.9, "stopwords": stopwords}
     counter, terms = FE.fit_vectorizer(rows, text, tfidf=False, **limits)

@@ -39,7 +39,7 @@ def _stored(spark, folder):
 with {T.FULL_REVIEWS_SQL}
 select id, review_id, review_rating, "review_dateSeen", review_title, review_text from full_reviews""")
 def _(spark, folder):
-    return R.read_reviews(spark, _stored(spark, folder)).select(
+    return R.read_reviews(spark, _stored(spark, folder), multi_line=True).select(
         "id", "review_id", "review_rating", "review_dateSeen", "review_title", "review_text"
     )
 
@@ -107,7 +107,7 @@ def _(spark, folder):
     docs = T.documents(spark, folder).select(
         "doc_id", "text", (F.col("lang") == "en").cast("double").alias("label")
     )
-    stages = [*hashing_stages("text", buckets=1 << 12), LogisticRegression(maxIter=3, regParam=0.01)]
+    stages = [*hashing_stages("text"), LogisticRegression(maxIter=10, regParam=0.01)]
     fitted = Pipeline(stages=stages).fit(docs)
     loaded = load_pipeline(save_model(fitted, scratch_path(spark, "model")))
     before = fitted.transform(docs).select("doc_id", F.col("probability").alias("before"))

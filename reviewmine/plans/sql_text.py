@@ -23,7 +23,11 @@ def clean(column: str) -> str:
 
 
 def tokens(column: str) -> str:
-    body = f"regexp_replace(lower({column}), '{BLANK_CLASS}+$', '')"
+    return raw_tokens(column, f"lower({column})")
+
+
+def raw_tokens(column: str, value: str = "") -> str:
+    body = f"regexp_replace({value or column}, '{BLANK_CLASS}+$', '')"
     return (
         f"case when {column} is null or ({body} = '' and {column} <> '') then cast([] as varchar[]) "
         f"else regexp_split_to_array({body}, '{BLANK_CLASS}') end"

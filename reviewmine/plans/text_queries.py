@@ -9,7 +9,7 @@ from ..operators import text as TX
 from ..sources.tables import read_table
 from . import tables as T
 from .catalog import query
-from .sql_text import kept, ngrams as ngrams_sql, quoted, tokens as tokens_sql, words as words_sql
+from .sql_text import kept, ngrams as ngrams_sql, quoted, raw_tokens, tokens as tokens_sql, words as words_sql
 from .stem_sql import stem_ctes
 
 _TOK = f"({tokens_sql('text')})"
@@ -138,11 +138,12 @@ def _(spark, folder):
 
 _HITS_SQL = f"""
 with gazetteer(phrase, label) as (values {_values(_GAZETTEER)}),
-t as (select doc_id, {_TOK} w from documents),
-g as (select doc_id, 1 k, unnest({ngrams_sql('w', 1)}) phrase, unnest(range(0, len(w))) p from t
+t as (select doc_id, ({raw_tokens('text')}) w from documents),
+g as (select doc_id, 1 k, unnest({ngrams_sql('w', 1)}) span, unnest(range(0, len(w))) p from t
       union all select doc_id, 2, unnest({ngrams_sql('w', 2)}), unnest(range(0, len(w) - 1)) from t
       union all select doc_id, 3, unnest({ngrams_sql('w', 3)}), unnest(range(0, len(w) - 2)) from t),
-hits as (select doc_id, p, phrase, z.label from g join (select lower(phrase) phrase, label from gazetteer) z using (phrase))"""
+c as (select distinct doc_id, k, p, unnest([span, regexp_replace(span, '{TX.EDGES}', '', 'g')]) span from g),
+hits as (select doc_id, p, span, z.label from c join (select lower(phrase) phrase, label from gazetteer) z on lower(span) = phrase)"""
 
 
 def _gazetteer(spark):
@@ -150,7 +151,7 @@ def _gazetteer(spark):
 
 
 @query("tx10_gazetteer_entities", _HITS_SQL + """
-, j as (select doc_id, string_agg(label || ':' || phrase, '|' order by p, phrase) entities from hits group by doc_id)
+, j as (select doc_id, string_agg(label || ':' || span, '|' order by p, span) entities from hits group by doc_id)
 select doc_id, coalesce(entities, '') entities from documents left join j using (doc_id)""")
 def _(spark, folder):
     found = TX.gazetteer_entities(T.documents(spark, folder), "doc_id", "text", _gazetteer(spark))
@@ -189,7 +190,7 @@ def _(spark, folder):
 
 
 @query("tx11_entity_frequency", _HITS_SQL + """
-select label, phrase "text", count(*) n from hits group by all""")
+select label, span "text", count(*) n from hits group by all""")
 def _(spark, folder):
     found = TX.gazetteer_entities(T.documents(spark, folder), "doc_id", "text", _gazetteer(spark))
     return TX.entity_frequency(found)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import lookup_join
 from ..schema import FILE_SCHEMA, PRODUCT_FIELDS, REVIEW_COLUMNS, REVIEW_FIELDS, to_dotted, to_flat
 
 # What a missing list element becomes in the flat file.
@@ -14,12 +13,12 @@ PADDING = {"numHelpful": 0, "rating": 0.0}
 
 
 def read_reviews(
-    spark: SparkSession, path: str, multi_line: bool = True, fmt: str = "csv"
+    spark: SparkSession, path: str, multi_line: bool = False, fmt: str = "csv"
 ) -> DataFrame:
     """Review table with flat column names, every field as text.
 
-    ``multi_line`` accepts line breaks within quotes; such a file is read by one
-    task each, so large tables should be written as many files (or as parquet).
+    ``multi_line`` accepts line breaks within quotes; each such file is read by one task, so large tables
+    should be written as many files (``max_rows`` of ``write_reviews``) or as parquet.
     """
     if fmt == "parquet":
         return to_flat(spark.read.parquet(path))
@@ -32,10 +31,10 @@ def read_reviews(
     return to_flat(reader.csv(path))
 
 
-def write_reviews(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_reviews(df: DataFrame, path: str, mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
     """The 22 columns in file order, UTF-8, with header; arrays joined by commas.
 
-    An empty text is written as nothing, so a reader sees NULL.
+    An empty text is written as nothing, so a reader sees NULL. A file holds at most ``max_rows`` rows.
     """
     dotted = to_dotted(df)
     columns = []
@@ -52,6 +51,7 @@ def write_reviews(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         dotted.select(*columns)
         .write.mode(mode)
         .option("header", True)
+        .option("maxRecordsPerFile", max_rows)
         .option("escape", '"')
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
@@ -85,24 +85,18 @@ def flatten_reviews(products: DataFrame) -> DataFrame:
     return rows.select(*others, *[field(a) for a in arrays])
 
 
-def nest_reviews(reviews: DataFrame, order: str = "review_id", max_per_row: int = 10_000) -> DataFrame:
+def nest_reviews(reviews: DataFrame, order: str = "review_id", parts: int = 1) -> DataFrame:
     """Flat reviews to parallel arrays per product, in the order of one column.
 
-    A product with up to ``max_per_row`` reviews is one row (``part`` 0). Beyond
-    that it is spread over several rows of about that size by a hash of the
-    order column, so no task has to hold an unbounded product; ``flatten_reviews``
-    reads both alike. Product fields take their smallest value.
+    Every product is one row (``part`` 0). Where products may be too large for a row, ``parts`` spreads each
+    over up to that many rows by a hash of the order column, whatever its size; ``flatten_reviews`` reads both
+    alike. Product fields take their smallest value.
     """
     fields = [f"review_{f}" for f in REVIEW_FIELDS if f"review_{f}" in reviews.columns]
     product_fields = [c for c in PRODUCT_FIELDS if c in reviews.columns and c != "id"]
-    large = (
-        reviews.groupBy("id").count().where(F.col("count") > max_per_row)
-        .select("id", F.ceil(F.col("count") / max_per_row).cast("int").alias("_parts"), "count")
-    )
-    rows = lookup_join(reviews, large, ["id"], salt_by=[order], weight="count")
-    part = F.pmod(F.xxhash64(order), F.coalesce("_parts", F.lit(1))).cast("int")
+    part = F.pmod(F.xxhash64(order), F.lit(parts)).cast("int")
     entry = F.struct(F.col(order).alias("_order"), *fields)
-    grouped = rows.withColumn("part", part).groupBy("id", "part").agg(
+    grouped = reviews.withColumn("part", part).groupBy("id", "part").agg(
         *[F.min(c).alias(c) for c in product_fields],
         F.sort_array(F.collect_list(entry)).alias("_reviews"),
     )

@@ -221,7 +221,19 @@ def test_clusters_and_their_words(planted_topics):
     assert len(top) == 9 and all(len(v) == 1 for v in letters.values())
 
 
-def test_svd_equals_numpy(planted_topics, monkeypatch):
+def test_vocabulary_without_size_is_whole_or_refused(planted_topics, monkeypatch):
+    _, every = FE.fit_vectorizer(planted_topics, "t", None)
+    words = FE.vocabulary(planted_topics.select(FE.X.word_tokens(F.col("t")).alias("w")), "w", None)
+    ranked = [r["term"] for r in sorted(words.collect(), key=lambda r: (-r["tf"], r["term"]))]
+    assert every == ranked and FE.fit_vectorizer(planted_topics, "t", 3)[1] == ranked[:3]
+    monkeypatch.setattr(FE, "MODEL_TERMS", len(every))
+    assert FE.fit_vectorizer(planted_topics, "t", None)[1] == every
+    monkeypatch.setattr(FE, "MODEL_TERMS", len(every) - 1)
+    with pytest.raises(ValueError, match=str(len(every))):
+        FE.fit_vectorizer(planted_topics, "t", None)
+
+
+def test_svd_equals_numpy(planted_topics):
     import numpy as np
 
     model, terms = FE.fit_vectorizer(planted_topics, "t", 100)
@@ -229,14 +241,13 @@ def test_svd_equals_numpy(planted_topics, monkeypatch):
     dense = np.array([r["features"].toArray() for r in rows.orderBy("k").collect()])
     want = np.linalg.svd(dense, compute_uv=False)[:4]
     weights = FE.tfidf_terms(planted_topics.select("k", FE.X.word_tokens(F.col("t")).alias("w")), "k", "w", 100)
-    for limit in (FE.GRAMIAN_TERMS, 1):
-        monkeypatch.setattr(FE, "GRAMIAN_TERMS", limit)
-        table, values = FE.truncated_svd(rows, "features", terms, 4)
-        assert values == pytest.approx(list(want), rel=1e-6)
-        v = {r["term"]: r["v"] for r in table.collect()}
-        points = {r["k"]: r["point"] for r in FE.project_terms(weights, "k", table, 4, rows).collect()}
-        matrix = dense @ np.array([v[t] for t in terms])
-        assert np.allclose(matrix, np.array([points[k] for k in range(120)]), atol=1e-8)
+    table, values = FE.truncated_svd(rows, "features", terms, 4)
+    assert values == pytest.approx(list(want), rel=1e-6)
+    v = {r["term"]: r["v"] for r in table.collect()}
+    basis = np.array([v[t] for t in terms])
+    assert np.allclose(basis.T @ basis, np.eye(4), atol=1e-8)
+    points = {r["k"]: r["point"] for r in FE.project_terms(weights, "k", table, 4, rows).collect()}
+    assert np.allclose(dense @ basis, np.array([points[k] for k in range(120)]), atol=1e-8)
     groups = planted_topics.select("k", "g")
     drawn = FE.document_map(FE.project_terms(weights, "k", table, 2), "k", groups, 30)
     assert drawn.count() == 30 and drawn.columns == ["k", "x", "y", "g"]

@@ -62,6 +62,6 @@ def test_roc_is_monotone_and_its_area_is_the_rank_sum(spark, rows):
 def test_flatten_undoes_nest(spark, rows):
     flat = [(p, f"r{i:03d}", t) for i, (p, t) in enumerate(rows)]
     df = spark.createDataFrame(flat, "id string, review_id string, review_title string")
-    for bound in (10_000, 2):
-        back = R.flatten_reviews(R.nest_reviews(df, max_per_row=bound).drop("part"))
+    for parts in (1, 3):
+        back = R.flatten_reviews(R.nest_reviews(df, parts=parts).drop("part"))
         assert sorted(map(tuple, back.select("id", "review_id", "review_title").collect())) == sorted(flat)

@@ -202,16 +202,17 @@ def test_gazetteer_finds_phrases_in_order(spark):
     gazetteer = spark.createDataFrame(
         [("Paris", "GPE"), ("New York City", "GPE"), ("new york", "GPE"), ("Acme", "ORG")], "phrase string, label string"
     )
-    df = texts(spark, "Acme left New York City for paris", "nothing here", None, "")
+    df = texts(spark, "Acme left New York City for paris", "nothing here", None, "", "I saw (Paris), then NEW YORK. Paris, new")
     found = {
         r["k"]: [tuple(e) for e in r["entities"]]
         for r in TX.gazetteer_entities(df, "k", "t", gazetteer).collect()
     }
     assert found == {
-        0: [("acme", "ORG"), ("new york", "GPE"), ("new york city", "GPE"), ("paris", "GPE")], 1: [], 2: [], 3: [],
+        0: [("Acme", "ORG"), ("New York", "GPE"), ("New York City", "GPE"), ("paris", "GPE")], 1: [], 2: [], 3: [],
+        4: [("Paris", "GPE"), ("NEW YORK", "GPE"), ("Paris", "GPE")],
     }
     counts = TX.entity_frequency(TX.gazetteer_entities(df, "k", "t", gazetteer))
-    assert sorted((r["label"], r["text"], r["n"]) for r in counts.collect())[0] == ("GPE", "new york", 1)
+    assert sorted((r["label"], r["text"], r["n"]) for r in counts.collect())[0] == ("GPE", "NEW YORK", 1)
 
 
 def test_pattern_entities(spark):

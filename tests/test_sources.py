@@ -142,7 +142,7 @@ def test_flatten_pads_and_keeps_empty_products(spark):
 def test_large_products_are_nested_in_parts(spark):
     rows = [("hot" if i % 3 else f"p{i}", f"r{i:04d}", f"t{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "id string, review_id string, review_title string")
-    nested = R.nest_reviews(df, max_per_row=20)
+    nested = R.nest_reviews(df, parts=10)
     assert nested.where("id = 'hot'").count() > 5
     assert nested.select(F.max(F.size("review_id"))).first()[0] < 60
     back = R.flatten_reviews(nested.drop("part")).select("id", "review_id", "review_title")
@@ -157,14 +157,14 @@ def test_file_round_trip(spark, tmp_path):
             "review_rating": "bad", "review_doRecommend": "True", "categories": "[]", "review_dateSeen": "a,b"}
     df = spark.createDataFrame([tuple(row[c] for c in FLAT_NAMES.values())], ", ".join(f"{c} string" for c in FLAT_NAMES.values()))
     R.write_reviews(df, str(tmp_path / "out"))
-    back = R.read_reviews(spark, str(tmp_path / "out"))
+    back = R.read_reviews(spark, str(tmp_path / "out"), multi_line=True)
     assert list(back.columns) == list(FLAT_NAMES.values()) and len(REVIEW_COLUMNS) == 22
     assert back.first()["review_text"] == text and back.first()["review_userCity"] is None
     typed = typed_reviews(back).first()
     assert typed["review_numHelpful"] == 3 and typed["review_rating"] is None and typed["review_doRecommend"] is True
     assert typed["categories"] == [] and typed["review_dateSeen"] == ["a", "b"] and typed["review_dateAdded"].year == 2024
     R.write_reviews(back, str(tmp_path / "out2"))
-    assert R.read_reviews(spark, str(tmp_path / "out2")).collect() == back.collect()
+    assert R.read_reviews(spark, str(tmp_path / "out2"), multi_line=True).collect() == back.collect()
 
 
 def test_preview_and_columns(spark):

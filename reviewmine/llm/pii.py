@@ -131,7 +131,10 @@ SPAN = StructType([StructField("kind", StringType()), StructField("start", Integ
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row per identifier-like word and context: doc_id, pattern, instance, seed, start, end."""
+    """A row per identifier-like word and context: doc_id, pattern, instance, seed, start, end.
+
+    A word that begins its line has no context and one row, with pattern NULL.
+    """
 
     def make() -> Callable[..., Iterator[tuple]]:
         def one(row_id: int | None, text: str | None) -> Iterator[tuple]:
@@ -139,7 +142,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 return
             mark = len(text)
             for a, b, word, seed in candidates(text, base_spans(text)):
-                for pattern in contexts(text, a):
+                for pattern in contexts(text, a) or (None,):
                     yield mark, row_id, pattern, word, seed, a, b
 
         return one
@@ -176,7 +179,7 @@ def discovered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``mark`` is the length of the text; it tells rows that repeat a doc_id with another text apart.
     """
     seen = stored(occurrences(docs, id_col, text_col), "occurrences")
-    edges = stored(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+    edges = stored(seen.where(F.col("pattern").isNotNull()).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
     patterns = reliable_patterns(edges)
     fresh = seen.where(~F.col("seed")).join(patterns, "pattern", "left_semi")
     # An identifier that such a context gave is one in every other place, too.

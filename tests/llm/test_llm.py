@@ -184,6 +184,15 @@ def test_pii_contexts_find_unseen_identifiers(spark, edges, nothing):
     assert pii.mask_documents(edges).columns == edges.columns
 
 
+def test_pii_found_identifiers_at_the_start_of_lines(spark):
+    docs = [(i, f"please contact mail u{i}@example.org and more") for i in range(20)]
+    docs += [(100, "please contact mail zq7731x today"), (101, "zq7731x, 1, 2\nzq7731x\nand zq7731x"), (102, "zq7731x"), (103, "zq7731y")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_digests(docs).collect()}
+    assert (got[100], got[101], got[102], got[103]) == ("id:20:27", "id:0:7,id:14:21,id:26:33", "id:0:7", "")
+    assert {r.doc_id: r.text for r in pii.mask_documents(docs).collect()}[102] == "[ID]"
+
+
 def test_packing_places_every_id_once(spark, edges):
     library = Tokenizer.from_file(PATH)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(

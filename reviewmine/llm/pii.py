@@ -2,28 +2,36 @@
 
 Emails, IP addresses, card numbers and phone numbers with a fixed form are the seeds. The words before a seed
 are its context; a context is a pattern. Spark holds the graph of patterns and identifier-like words
-(instances) and scores it in rounds: a pattern is as reliable as the share of its distinct instances that
-are known, weighed by how many known ones support it; an instance is known when it is a seed or
+(instances) and scores it in rounds until nothing changes: a pattern is as reliable as the share of its distinct
+instances that are known, weighed by how many known ones support it; an instance is known when it is a seed or
 when reliable patterns extract it. Instances that end as known and are no seed are the identifiers found.
+
+Identifier-like are words of four characters with a digit, and runs of digit groups. All other words are found, too,
+behind patterns that stay reliable when every word behind them counts. They are no evidence for further patterns, and are
+identifiers in other places only if at least half of their places are behind such patterns; else one stray
+word would mask itself in the whole corpus.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import map_rows, need, stored
+from .common import map_rows, need, stored, union_all
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"  # kind of the spans that contexts find
-ROUNDS = 3
 SUPPORT = 3  # distinct known instances that a pattern needs
 RELIABLE = 0.8  # least share of known instances among all distinct ones of a pattern
 CONTEXT_WORDS = (1, 2, 3)
+BUCKETS = 1 << 20  # of hashes of words and patterns, by which texts are searched before the exact joins
+CACHED = 200_000  # words that a task remembers
 
 # The forms of the four kinds.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -37,6 +45,9 @@ _DIGITS = re.compile(r"[0-9]+")
 _IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _TOKEN = re.compile(r"\S+")
 _TRIM = ".,;:!?\"'()[]{}<>«»“”"
+# Groups of digits with one space between them; the last one ends its word but for punctuation.
+_RUN = re.compile(
+    r"(?<![^\s\"'\[{<«“])[+(]?[0-9][0-9().+/-]*+(?: [(]?[0-9][0-9().+/-]*+(?=[\s,;:!?\"'\]}>»”]|\Z))+")
 
 
 def luhn(digits: str) -> bool:
@@ -98,10 +109,18 @@ def contexts(text: str, start: int) -> list[str]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, str, bool]]:
-    """Identifier-like words (start, end, normal form, is a seed): seeds, and words with digits outside them."""
+    """Identifier-like words (start, end, normal form, is a seed): seeds, and words with digits and runs of digit groups outside them."""
     taken = sorted((a, b) for _, a, b in base)
     for a, b in taken:
         yield a, b, " ".join(text[a:b].lower().split()), True
+    at = 0
+    for a, b in [*taken, (len(text), len(text))]:
+        for m in _RUN.finditer(text, at, max(a, at)):
+            start, end = m.start() + (m[0][0] == "(" and ")" not in m[0]), m.end()
+            while text[end - 1] in _TRIM and not (text[end - 1] == ")" and "(" in text[start:end]):
+                end -= 1
+            yield start, end, text[start:end], False
+        at = max(at, b)
     i, end = 0, 0
     for m in _DIGITS.finditer(text):
         if m.start() < end:
@@ -150,27 +169,164 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(need(docs, id_col, text_col), SCANNED, make)
 
 
-def reliable_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Patterns that hold after all rounds of scoring. ``edges``: distinct (pattern, instance, seed).
+def reliable_patterns(edges: DataFrame) -> DataFrame:
+    """Patterns that hold when scoring changes nothing more, with support and all. ``edges``: distinct (pattern, instance, seed).
 
-    Each round: patterns from the instances known so far, then instances from the patterns. Only counts
-    leave a task, so neither a pattern nor an instance that many rows share is gathered in one place.
+    Each round: patterns from the instances known so far, then instances from the patterns. What is known only grows, so
+    an unchanged count is the end. Only counts leave a task, so neither a pattern nor an instance that many rows share
+    is gathered in one place.
     """
     known = edges.withColumn("known", F.col("seed"))
-    patterns = None
-    for _ in range(rounds):
+    before = 0
+    while True:
         patterns = stored(
             known.groupBy("pattern").agg(
                 F.sum(F.col("known").cast("long")).alias("support"), F.count("*").alias("all"),
-            ).where((F.col("support") >= SUPPORT) & (F.col("support") >= RELIABLE * F.col("all"))).select("pattern"),
+            ).where((F.col("support") >= SUPPORT) & (F.col("support") >= RELIABLE * F.col("all"))),
             "patterns",
         )
-        if patterns.isEmpty():
-            break
         found = edges.where(~F.col("seed")).join(patterns, "pattern", "left_semi").select("instance").distinct()
         found = stored(found.withColumn("found", F.lit(True)), "instances")
+        count = found.count()
+        if count == before:
+            return patterns
+        before = count
         known = edges.join(found, "instance", "left").withColumn("known", F.col("seed") | F.coalesce("found", F.lit(False))).drop("found")
-    return patterns
+
+
+def _words(text: str) -> Iterator[tuple[int, int, str | None]]:
+    """(start, end, word before in the same line) of every word, less the punctuation around it."""
+    at = 0
+    for line in text.split("\n"):
+        head = None
+        for m in _TOKEN.finditer(line):
+            word = m[0]
+            a, b = 0, len(word)
+            while a < b and word[a] in _TRIM:
+                a += 1
+            while b > a and word[b - 1] in _TRIM:
+                b -= 1
+            if a < b:
+                yield at + m.start() + a, at + m.start() + b, word[:a] or head
+            head = word
+        at += len(line) + 1
+
+
+class _Buckets:
+    """Whether a hash bucket of words is set, remembered for the words that come often."""
+
+    def __init__(self, values: np.ndarray, normal: Callable[[str], str]):
+        self.values, self.normal, self.cache = values, normal, {}
+
+    def __call__(self, word: str) -> int:
+        value = self.cache.get(word)
+        if value is None:
+            if len(self.cache) >= CACHED:
+                self.cache.clear()
+            value = self.cache[word] = int(self.values[zlib.crc32(self.normal(word).encode()) % BUCKETS])
+        return value
+
+
+def _buckets(keys: DataFrame, column: F.Column, value: F.Column) -> np.ndarray:
+    """The largest value by hash bucket, 0 where there is none; at most BUCKETS rows come to the driver."""
+    rows = keys.groupBy((F.crc32(column) % BUCKETS).cast("int").alias("b")).agg(F.max(value).cast("int").alias("v")).toPandas()
+    out = np.zeros(BUCKETS, dtype=np.int32)
+    out[rows["b"].to_numpy(dtype=np.int64)] = rows["v"].to_numpy(dtype=np.int64)
+    return out
+
+
+def _free(text: str) -> Callable[[int, int], bool]:
+    """Whether a place has no identifier-like word; asked for places in order."""
+    taken = sorted((a, b) for a, b, _, _ in candidates(text, base_spans(text)))
+    i, end = 0, 0
+
+    def free(start: int, stop: int) -> bool:
+        nonlocal i, end
+        while i < len(taken) and taken[i][0] < stop:
+            end = max(end, taken[i][1])
+            i += 1
+        return end <= start and any(c.isalnum() for c in text[start:stop])
+
+    return free
+
+
+FOLLOWERS = StructType([StructField("pattern", StringType()), StructField("instance", StringType())])
+PLACES = StructType([f for f in SCANNED if f.name != "seed"])
+
+
+def plain_places(docs: DataFrame, patterns: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """Places of words that are not identifier-like but found: doc_id, row, start, end; None if there can be none.
+
+    ``patterns``: those of ``reliable_patterns``. Each has room for some distinct plain words before its share
+    of known instances falls below RELIABLE, and a task needs to show only one more than that.
+    """
+    room = F.floor(F.col("support") / RELIABLE + 1e-9) - F.col("all")
+    roomy = stored(patterns.withColumn("room", room).where("room >= 1"), "patterns")
+    if roomy.isEmpty():
+        return None
+    rooms = _buckets(roomy, F.col("pattern"), F.col("room"))
+    heads = _buckets(roomy, F.substring_index("pattern", " ", -1), F.lit(1))
+
+    def make_followers() -> Callable[..., Iterator[tuple]]:
+        is_head, room_of = _Buckets(heads, _normal), _Buckets(rooms, str)
+        shown: dict[str, set[str]] = {}
+
+        def one(text: str | None) -> Iterator[tuple]:
+            free = None
+            for a, b, head in _words(text or ""):
+                if head is None or not is_head(head):
+                    continue
+                free = free or _free(text)
+                if not free(a, b):
+                    continue
+                for pattern in contexts(text, a):
+                    most = room_of(pattern)
+                    if most:
+                        have = shown.setdefault(pattern, set())
+                        word = text[a:b].lower()
+                        if len(have) <= most and word not in have:
+                            have.add(word)
+                            yield pattern, word
+                            if len(shown) > CACHED:
+                                shown.clear()
+
+        return one
+
+    followers = stored(map_rows(need(docs, text_col), FOLLOWERS, make_followers).distinct(), "followers")
+    counts = followers.groupBy("pattern").agg(F.count("*").alias("plain"))
+    good = stored(roomy.join(counts, "pattern").where(F.col("plain") <= F.col("room")).select("pattern"), "patterns")
+    words = stored(followers.join(good, "pattern", "left_semi").select("instance").distinct(), "instances")
+    if words.isEmpty():
+        return None
+    wanted = _buckets(words, F.col("instance"), F.lit(1))
+    ends = _buckets(good, F.col("pattern"), F.lit(1))
+
+    def make_places() -> Callable[..., Iterator[tuple]]:
+        is_wanted, is_pattern = _Buckets(wanted, str.lower), _Buckets(ends, str)
+
+        def one(row_id: int | None, text: str | None) -> Iterator[tuple]:
+            free = None
+            for a, b, _ in _words(text or ""):
+                if not is_wanted(text[a:b]):
+                    continue
+                free = free or _free(text)
+                if free(a, b):
+                    yield len(text), row_id, None, text[a:b].lower(), a, b
+                    for pattern in contexts(text, a):
+                        if is_pattern(pattern):
+                            yield len(text), row_id, pattern, text[a:b].lower(), a, b
+
+        return one
+
+    seen = stored(map_rows(need(docs, id_col, text_col), PLACES, make_places).join(words, "instance", "left_semi"), "places")
+    place = ["doc_id", "row", "instance", "start", "end"]
+    behind = stored(seen.join(good, "pattern", "left_semi").select(*place).distinct(), "behind")
+    # A row without pattern stands for each place.
+    total = seen.where(F.col("pattern").isNull()).groupBy("instance").agg(F.count("*").alias("total"))
+    wide = total.join(behind.groupBy("instance").agg(F.count("*").alias("behind")), "instance").where(
+        2 * F.col("behind") >= F.col("total")).select("instance")
+    everywhere = seen.where(F.col("pattern").isNull()).join(stored(wide, "instances"), "instance", "left_semi").select(*place)
+    return behind.unionByName(everywhere).select("doc_id", "row", "start", "end")
 
 
 def discovered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,8 +340,11 @@ def discovered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fresh = seen.where(~F.col("seed")).join(patterns, "pattern", "left_semi")
     # An identifier that such a context gave is one in every other place, too.
     words = stored(fresh.select("instance").distinct(), "instances")
-    places = seen.where(~F.col("seed")).join(words, "instance", "left_semi")
-    return places.groupBy("doc_id", F.col("row").alias("mark")).agg(
+    places = [seen.where(~F.col("seed")).join(words, "instance", "left_semi").select("doc_id", "row", "start", "end")]
+    plain = plain_places(docs, patterns, id_col, text_col)
+    if plain is not None:
+        places.append(plain)
+    return union_all(places).groupBy("doc_id", F.col("row").alias("mark")).agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("found"))
 
 

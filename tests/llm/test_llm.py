@@ -193,6 +193,29 @@ def test_pii_found_identifiers_at_the_start_of_lines(spark):
     assert {r.doc_id: r.text for r in pii.mask_documents(docs).collect()}[102] == "[ID]"
 
 
+def test_pii_groups_of_digits_and_words_without_digits(spark):
+    docs = [(i, f"his phone: +1 (988) 555-{2000 + i} and more") for i in range(20)]
+    docs += [(i, f"user login u{i}@example.org and more") for i in range(20, 40)]
+    docs += [(100, "his phone: 020 7946 0958 today"), (101, "020 7946 0958"), (102, "in 2020 we had 12 30 of them")]
+    docs += [(110, "user login jsmith today"), (111, "jsmith wrote"), (112, "user login and\nand and and, the login")]
+    docs += [(113, "the phone: 7 rang"), (114, "his phone: 77 rang")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_digests(docs).collect()}
+    assert got[100].split(",")[0] == "id:11:24" and got[101].split(",")[0] == "id:0:13" and got[102] == ""
+    assert (got[110], got[111], got[112], got[114]) == ("id:11:17", "id:0:6", "id:11:14", "id:11:13")
+    masked = {r.doc_id: r.text for r in pii.mask_documents(docs).collect()}
+    assert (masked[100], masked[101], masked[110]) == ("his phone: [ID] today", "[ID]", "user login [ID] today")
+
+
+def test_pii_scores_until_nothing_changes(spark):
+    # Every pattern is reliable only once the one before it has made its instance known.
+    links = [("p0", f"s{i}", True) for i in range(4)] + [("p0", "w0", False)]
+    for k in range(1, 9):
+        links += [(f"p{k}", f"s{i}", True) for i in range(3)] + [(f"p{k}", f"w{k - 1}", False), (f"p{k}", f"w{k}", False)]
+    got = pii.reliable_patterns(spark.createDataFrame(links, "pattern string, instance string, seed boolean"))
+    assert {r.pattern for r in got.collect()} == {f"p{k}" for k in range(9)}
+
+
 def test_packing_places_every_id_once(spark, edges):
     library = Tokenizer.from_file(PATH)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(

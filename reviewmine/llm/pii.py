@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -97,14 +98,16 @@ def written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (order[s[0]], s[1], s[2])))
 
 
+@lru_cache(1 << 16)
 def _normal(word: str) -> str:
     return _DIGITS.sub("0", word.lower())
 
 
 def contexts(text: str, start: int) -> list[str]:
     """The one, two and three words before a place in the same line, with digits as 0."""
-    line = max(text.rfind("\n", 0, start) + 1, start - 200)  # words of 200 characters are no context
-    words = [_normal(w) for w in text[line:start].split()[-max(CONTEXT_WORDS):]]
+    least = max(start - 200, 0)  # words of 200 characters are no context
+    line = max(text.rfind("\n", least, start) + 1, least)
+    words = [_normal(w) for w in text[line:start].rsplit(None, max(CONTEXT_WORDS))[-max(CONTEXT_WORDS):]]
     return [" ".join(words[-n:]) for n in CONTEXT_WORDS if n <= len(words)]
 
 
@@ -281,14 +284,17 @@ def plain_places(docs: DataFrame, patterns: DataFrame, id_col: str, text_col: st
                     continue
                 for pattern in contexts(text, a):
                     most = room_of(pattern)
-                    if most:
-                        have = shown.setdefault(pattern, set())
-                        word = text[a:b].lower()
-                        if len(have) <= most and word not in have:
-                            have.add(word)
-                            yield pattern, word
-                            if len(shown) > CACHED:
-                                shown.clear()
+                    if not most:
+                        continue
+                    have = shown.setdefault(pattern, set())
+                    word = text[a:b].lower()
+                    if len(have) > most:
+                        room_of.cache[pattern] = 0
+                    elif word not in have:
+                        have.add(word)
+                        yield pattern, word
+                        if len(shown) > CACHED:
+                            shown.clear()
 
         return one
 

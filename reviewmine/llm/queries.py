@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, licenses, maintext, neardup, packing, pii, quality, topk, toxicity
+from . import bpe, fingerprint, licenses, maintext, neardup, packing, pii, quality, topk, toxicity, turns
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -124,3 +124,71 @@ from sets d left join classes c on c.s = list_sort(d.s) left join named using (r
 @query("op10_near_duplicates", NEAR_SQL)
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2)
+
+
+TURNS_SQL = r"""
+with recursive bits as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t
+), keyed as (
+  select conv_id conv, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') key from conversations
+), kinds as (
+  select k.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda x: cast(ascii(x) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 kind from keyed k, bits
+), damaged as (
+  select conv, turn, case when kind = 4 then 'user' else role end role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text,
+    unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) n from kinds
+), placed as (
+  select *, row_number() over (partition by conv order by turn nulls first, role, text, n) i from damaged
+), faults as (
+  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+    when row_number() over (partition by conv, role, text order by i) > 1 then 'duplicate'
+    when regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') then 'truncated' else '' end fault,
+    left(role, 1) initial, lag(left(role, 1)) over (partition by conv order by i) before
+  from placed
+), inserted(q, p, c, a, o) as (
+  values ('0', '0', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+    ('0', 'a', 2, 'I', 'user:' || chr(10)), ('s', 'a', 2, 'I', 'user:' || chr(10)), ('u', 'a', 2, 'I', 'user:' || chr(10)),
+    ('a', 'u', 2, 'I', 'assistant:' || chr(10)),
+    ('0', 'u', 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), ('s', 'u', 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    ('u', 'u', 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), ('a', 'a', 4, 'II', 'assistant:' || chr(10) || 'user:' || chr(10))
+), edits(p, r, e, c) as (
+  values ('0', '0', 'D', 3), ('s', 's', 'D', 3), ('u', 'u', 'D', 3), ('a', 'a', 'D', 3), ('0', 's', 'S', 0),
+    ('0', 'a', 'K', 0), ('s', 'a', 'K', 0), ('u', 'a', 'K', 0), ('a', 'u', 'K', 0),
+    ('0', 'a', 'R', 2), ('s', 'a', 'R', 2), ('u', 'a', 'R', 2), ('a', 'u', 'R', 2)
+), states as (
+  select distinct conv, cast(0 as bigint) i, '0' q, {'c': 0, 'a': '', 'o': ''} v from faults
+  union all
+  select s.conv, s.i + 1, e.r, min({
+    'c': s.v.c + n.c + e.c + case when e.e <> 'D' and f.fault = 'truncated' then 1 else 0 end,
+    'a': s.v.a || n.a || case when e.e = 'S' then 'K' else e.e end,
+    'o': s.v.o || n.o || case e.e when 'D' then '' when 'R' then
+      (case when e.p = 'a' then 'assistant:' else 'user:' end) || f.text || chr(10) else f.role || ':' || f.text || chr(10) end})
+  from states s join faults f on s.conv is not distinct from f.conv and f.i = s.i + 1
+    join inserted n on n.q = s.q join edits e on e.p = n.p
+  where e.e = 'D' or f.fault not in ('blank', 'duplicate') and case e.e
+    when 'S' then f.initial = 's' when 'K' then f.initial = case when e.p = 'a' then 'a' else 'u' end else true end
+  group by s.conv, s.i, e.r
+), summed as (
+  select conv, count(*) rows_, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+    count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+    count(*) filter (fault = 'truncated') truncated,
+    count(*) filter (i > 1 and before || initial not in ('su', 'ua', 'au')) illegal from faults group by conv
+), ended as (
+  select s.conv, min({'c': s.v.c + n.c, 'a': s.v.a || n.a, 'o': s.v.o || n.o}) v
+  from states s join summed m on s.conv is not distinct from m.conv and s.i = m.rows_
+    join inserted n on n.q = s.q where n.p in ('0', 'u') group by s.conv
+)
+select c.conv conv_id, cast(coalesce(gaps, 0) as bigint) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate,
+  coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, cast(coalesce(v.c, 0) as bigint) cost, coalesce(v.a, '') audit,
+  sha256(coalesce(left(v.o, greatest(length(v.o) - 1, 0)), '')) repaired_sha256
+from (select distinct conv from keyed) c left join summed m on c.conv is not distinct from m.conv
+  left join ended e on c.conv is not distinct from e.conv
+"""
+
+
+@query("op13_turn_repair", TURNS_SQL)
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.repair_report(turns.damage(table(spark, folder, "conversations"))).withColumnRenamed("conv", "conv_id")

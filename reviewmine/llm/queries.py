@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, licenses, maintext, neardup, packing, pii, quality, topk, toxicity, turns
+from . import bestfit, bpe, fingerprint, licenses, maintext, neardup, packing, pii, quality, topk, toxicity, turns
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,6 +127,11 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2)
 
 
+@query("op12_best_fit")
+def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return bestfit.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 TURNS_SQL = r"""
 with recursive bits as (
   select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),

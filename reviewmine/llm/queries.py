@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestfit, bpe, fingerprint, licenses, maintext, neardup, packing, pii, quality, topk, toxicity, turns
+from . import bestfit, bpe, fingerprint, hardneg, licenses, maintext, neardup, packing, pii, quality, topk, toxicity, turns
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -127,6 +127,36 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2)
 
 
+NEGATIVES_SQL = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+    list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) v from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as (
+  select a.vec_id anchor_id, c.vec_id, a.label = c.label alike,
+    cast(list_inner_product(list_transform(a.v, lambda x: x::double), list_transform(c.v, lambda x: x::double)) as bigint) score
+  from vectors a join vectors c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id
+), positives as (
+  select anchor_id, vec_id positive_id, score positive_score from scores where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select anchor_id, positive_id, vec_id negative_id, positive_score, score negative_score,
+    cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) "rank"
+  from positives join scores using (anchor_id)
+  where not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select anchor_id, positive_id, "rank", negative_id, positive_score, negative_score from ranked where "rank" <= 3
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    rows = hardneg.integer_rows(table(spark, folder, "embeddings"), "vec_id", "embedding", moved, 256)
+    return hardneg.hard_negatives(rows, lambda df: df.where(F.col("id") % 50 == 0))
+
+
 @query("op12_best_fit")
 def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return bestfit.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))

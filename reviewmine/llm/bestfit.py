@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -30,7 +31,7 @@ from .bpe import byte_letters
 from .common import map_rows, need, stored
 
 SIZE = 2048
-KNOWN_WORDS = 250_000  # distinct words whose ids a task keeps
+KNOWN_WORDS = 400_000  # distinct words whose ids a worker keeps, some 80 MB
 KNOWN_CHARS = 64  # longer words are encoded each time
 
 PIECE = StructType([
@@ -68,7 +69,7 @@ class WordEncoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         symbols = word.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(symbols)], dtype="<u4").tobytes()
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(symbols)])
         if len(word) <= KNOWN_CHARS:
             if len(self) >= KNOWN_WORDS:
                 self.clear()
@@ -81,6 +82,12 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, WORDS.findall(text.lower())))
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder a worker: its words, KNOWN_WORDS at most, serve the worker's later tasks as well."""
+    return WordEncoder(path)
+
+
 def cut_documents(
     docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -88,7 +95,7 @@ def cut_documents(
     end = int(end_id).to_bytes(4, "little")
 
     def make() -> Callable[..., Iterator[tuple]]:
-        encoder = WordEncoder(path)
+        encoder = worker_encoder(path)
         part = TaskContext.get().partitionId()
         seen = [0] * (size + 1)
 

@@ -15,6 +15,7 @@ costs ``size``.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .bpe import PIECES, byte_letters
+from .bpe import PIECES, byte_letters, load
 from .common import map_rows, need, stored
 
 SIZE = 1024
@@ -52,6 +53,16 @@ def fast_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
 
 
+RUN_OF_BLANKS = re.compile(r"(?<!\s)\s{100000}")  # beyond some 700,000 the library's pattern search gives up
+
+
+def ids_of(encoding: tiktoken.Encoding, path: str, text: str) -> np.ndarray:
+    """Ids of a whole text; texts with very long runs of blanks go to this package's own encoder."""
+    if len(text) >= 100_000 and RUN_OF_BLANKS.search(text):
+        return np.frombuffer(load(path).encode_packed(text), dtype="<u4")
+    return encoding.encode_to_numpy(text, allowed_special="all")
+
+
 def cut_documents(
     docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -63,7 +74,7 @@ def cut_documents(
         seen = [0] * (size + 1)
 
         def one(doc_id: int | None, text: str | None) -> Iterator[tuple]:
-            ids = np.append(encoding.encode_to_numpy(text or "", allowed_special="all"), end_id).astype("<u4")
+            ids = np.append(ids_of(encoding, path, text or ""), end_id).astype("<u4")
             for start in range(0, len(ids), size):
                 piece = ids[start:start + size]
                 n = len(piece)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import map_rows, need
+from .common import map_rows, need, number_of
 
 WORD_BUCKETS = 1 << 16
 GRAM_BUCKETS = 1 << 16
@@ -143,11 +143,13 @@ def train(
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents (doc_id, text, the label), chosen by a hash of their id.
 
-    Only ids and labels are sorted, and at most ``rows`` of them are broadcast, so no text is shuffled. An id with several labels
-    takes part once, with the largest.
+    The ids are chosen among those of the documents at hand, so rows that an earlier stage rejected use none of them up. Only ids
+    and labels are joined and sorted, and at most ``rows`` of them are broadcast, so no text is shuffled. An id with several
+    labels takes part once, with the largest.
     """
-    chosen = need(labels, "doc_id", label).where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = need(labels, "doc_id", label).where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(label).cast("int").alias("label"))
+    chosen = known.join(need(docs, "doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return need(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
@@ -191,8 +193,5 @@ def keep_good(docs: DataFrame, model: SubwordModel, least: float = 0.5, text_col
     """The rows whose text scores at least ``least``, with all their columns; no row moves."""
     weights, bias = model.folded()
 
-    @F.pandas_udf("double")
-    def score(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: score_text(t or "", weights, bias)).astype("float64")
-
+    score = F.arrow_udf(number_of(lambda text: score_text(text, weights, bias)), "double")
     return docs.where(score(F.col(f"`{text_col}`")) >= least)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import map_rows, need
+from .common import map_rows, need, number_of
 from .quality import labelled_sample
 
 BUCKETS = 1 << 20
@@ -178,8 +178,5 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
 def keep_clean(docs: DataFrame, chain: Chain, most: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose verdict stays below ``most``, with all their columns; no row moves."""
 
-    @F.pandas_udf("double")
-    def verdict(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: chain.probabilities(t or "")[-1]).astype("float64")
-
+    verdict = F.arrow_udf(number_of(lambda text: chain.probabilities(text)[-1]), "double")
     return docs.where(verdict(F.col(f"`{text_col}`")) < most)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,12 +43,12 @@ def tokens(text: Column) -> Column:
     return raw_tokens(F.lower(text))
 
 
-def raw_tokens(text: Column) -> Column:
-    """As ``tokens``, in the text's own case."""
+def raw_tokens(text: Column, change: Callable[[Column], Column] = lambda body: body) -> Column:
+    """As ``tokens``, in the text's own case; ``change`` may alter anything but blanks before the split."""
     body = F.rtrim(text, F.lit(BLANKS))
     return (
         F.when(text.isNull() | ((body == "") & (text != "")), empty_tokens())
-        .otherwise(F.split(body, f"[{BLANKS}]"))
+        .otherwise(F.split(change(body), f"[{BLANKS}]"))
     )
 
 

@@ -35,6 +35,7 @@ from ..session import cut_lineage
 from .joins import lookup_join
 from .ordering import global_index
 from .text import explode_words
+from .words import broadcast_words, weigh_words
 
 
 # ---- counts and weights in long form ---------------------------------------------------
@@ -87,14 +88,17 @@ def tfidf_terms(
 ) -> DataFrame:
     """(key, term, tf, weight): tf times smooth idf, each text scaled to length 1.
 
-    The texts are placed by key once; counting, weighting and scaling all keep
-    that placement, so the exploded terms are never shuffled.
+    Rows look the idf of their words up in a broadcast table and are weighted where they stand. Beyond TABLE_WORDS terms
+    the words are counted by key and joined by shuffle, hot terms salted.
     """
     terms = vocabulary(df, tokens, size, min_df, max_df).select("term", "idf", "df")
     if size is None:
         terms = cut_lineage(terms)  # counted once, then measured and joined
-    placed = df.select(key, F.col(tokens).alias("_tokens")).repartition(F.col(key))
-    counts = explode_words(placed, F.col("_tokens"), [key], "term").groupBy(key, "term").agg(
+    table = broadcast_words(terms, "term", ["idf"])
+    if table is not None:
+        weighed = df.select(key, weigh_words(X.no_null_array(F.col(tokens)), table).alias("_terms"))
+        return weighed.select(key, F.inline("_terms"))
+    counts = explode_words(df, F.col(tokens), [key], "term").groupBy(key, "term").agg(
         F.count("*").alias("tf")
     )
     weighted = lookup_join(

@@ -16,12 +16,11 @@ NULL_SALTS = 10_000  # NULL keys meet nothing and are spread
 def fits_broadcast(
     table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Count a table up to the bound; the probe itself reads no more than that."""
+    """Whether a table's rows and their written size stay within the bounds; tasks add up their own, no row moves."""
+    if table.count() > max_rows:
+        return False
     width = F.length(F.to_json(F.struct("*")))
-    rows, size = (
-        table.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    return table.agg(F.coalesce(F.sum(width), F.lit(0))).scalar() <= max_bytes
 
 
 def hot_keys(

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import html as H
 from ..functions import text as X
 from ..functions.porter import stem_tokens
 from ..functions.stopwords import ENGLISH
 from .joins import lookup_join
+from .words import TABLE_WORDS, broadcast_words, replace_words
 
 
 def explode_words(
@@ -37,8 +39,27 @@ def with_filtered(
     return df.withColumn(out, X.remove_stopwords(F.col(tokens), stopwords))
 
 
-def with_stems(df: DataFrame, tokens: str = "filtered", out: str = "stems", joined: bool = False) -> DataFrame:
-    stems = stem_tokens(X.no_null_array(F.col(tokens)))
+def distinct_words(df: DataFrame, words: Column) -> DataFrame:
+    """Table (word) of all different words; tasks send each of theirs once."""
+    made = df.select(F.array_distinct(words).alias("_words"))
+    return explode_words(made, F.col("_words")).distinct()
+
+
+def with_stems(
+    df: DataFrame, tokens: str = "filtered", out: str = "stems", joined: bool = False, most: int = TABLE_WORDS
+) -> DataFrame:
+    """Stems of a token array, as an array or joined by a space.
+
+    Each different word is stemmed once and rows look their stems up. Beyond ``most`` different words, and
+    in streams, every token is stemmed where it stands; no token is shuffled either way.
+    """
+    words = X.no_null_array(F.col(tokens))
+    stems = stem_tokens(words)
+    if not df.isStreaming:
+        each = distinct_words(df, words).where("word <> ''").withColumn("stem", F.get(stem_tokens(F.array("word")), F.lit(0)))
+        table = broadcast_words(each, "word", ["stem"], most)
+        if table is not None:
+            stems = replace_words(words, table)
     return df.withColumn(out, F.array_join(stems, " ") if joined else stems)
 
 
@@ -105,17 +126,16 @@ def _by_rules(word: Column, rules: list[tuple[str, str]]) -> Column:
 
 def lemmatize(
     df: DataFrame, key: str, text: str, lemmas: DataFrame, verbs: DataFrame | None = None,
-    suffix_rules: bool = False, out: str = "lemmatized",
+    suffix_rules: bool = False, out: str = "lemmatized", most: int = TABLE_WORDS,
 ) -> DataFrame:
     """Lemmas of a text's words, joined by a space; (key, out) per row, '' for no words.
 
     ``lemmas`` (word, pos, lemma) is the user's dictionary, ``verbs`` (word) says
     which words count as verbs (pos 'v'); all others are nouns ('n'). Words the
-    dictionary lacks stay, or go through suffix rules. ``key`` must be unique.
+    dictionary lacks stay, or go through suffix rules. Each different word gets its lemma once and rows look theirs
+    up; beyond ``most`` different words the words are joined by shuffle, hot ones salted, and ``key`` must be unique.
     """
-    # Placed by key once, so that the words need no shuffle to be put together again.
-    placed = df.select(key, X.blank_split(X.lower_text(F.col(text))).alias("_w")).repartition(F.col(key))
-    rows = placed.select(key, F.posexplode_outer("_w").alias("pos", "word"))
+    words = X.blank_split(X.lower_text(F.col(text)))
     per_word = lemmas.groupBy("word").agg(
         F.min(F.when(F.col("pos") == "v", F.col("lemma"))).alias("_as_verb"),
         F.min(F.when(F.col("pos") == "n", F.col("lemma"))).alias("_as_noun"),
@@ -125,13 +145,19 @@ def lemmatize(
         per_word = per_word.join(marked, "word", "full")
     else:
         per_word = per_word.withColumn("_verb", F.lit(False))
-    joined = lookup_join(rows, per_word, ["word"], salt_by=[key, "pos"])
     is_verb = F.coalesce("_verb", F.lit(False))
     word = F.col("word")
     fallback = word
     if suffix_rules:
         fallback = F.when(is_verb, _by_rules(word, VERB_RULES)).otherwise(_by_rules(word, NOUN_RULES))
     lemma = F.coalesce(F.when(is_verb, F.col("_as_verb")).otherwise(F.col("_as_noun")), fallback)
+    each = lookup_join(distinct_words(df, words), per_word, ["word"]).select("word", lemma.alias("lemma"))
+    table = broadcast_words(each.where("word <> lemma"), "word", ["lemma"], most)
+    if table is not None:
+        return df.select(key, F.array_join(replace_words(words, table), " ").alias(out))
+    placed = df.select(key, words.alias("_w")).repartition(F.col(key))
+    rows = placed.select(key, F.posexplode_outer("_w").alias("pos", "word"))
+    joined = lookup_join(rows, per_word, ["word"], salt_by=[key, "pos"])
     entries = F.collect_list(F.when(word.isNotNull(), F.struct("pos", lemma.alias("lemma"))))
     grouped = joined.groupBy(key).agg(F.sort_array(entries).alias("_words"))
     return grouped.select(key, F.array_join(F.col("_words.lemma"), " ").alias(out))
@@ -159,31 +185,50 @@ def pattern_entities(
 
 
 EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"  # punctuation around a phrase
+_SIGN = rf"[^\p{{L}}\p{{N}}{X.BLANKS}]"
+WORD_EDGES = rf"(?<![^{X.BLANKS}]){_SIGN}++|(?<!{_SIGN}){_SIGN}++(?![^{X.BLANKS}])"  # and around every word
+
+
+FIRST_WORDS = 20_000  # different first words of phrases that are tested inside the row
 
 
 def gazetteer_entities(
-    df: DataFrame, key: str, text: str, gazetteer: DataFrame, max_words: int = 3, out: str = "entities"
+    df: DataFrame, key: str, text: str, gazetteer: DataFrame, max_words: int | None = None, out: str = "entities"
 ) -> DataFrame:
-    """Entities by dictionary (phrase, label) over 1- to n-grams, ignoring case.
+    """Entities by dictionary (phrase, label), ignoring case; phrases have any number of words, or ``max_words`` at most.
 
-    An n-gram is looked up as it stands and without the punctuation around it, and the entity keeps the text's spelling.
+    A run of words is looked up as it stands and without the punctuation around it, and the entity keeps the text's spelling.
     One (key, out) row per text, in text order; a text without a hit has [].
-    Only hits are collected, so the shuffle carries one small row per text.
+
+    Punctuation is taken off all words of a text at once. Only a word that begins some phrase, or that is nothing but
+    punctuation, opens a run; so the rows that are exploded and looked up are few. With more than FIRST_WORDS
+    different first words every word opens one.
     """
-    tokens = df.select(key, X.raw_tokens(F.col(text)).alias("_tokens"))
-    shifted = [F.slice("_tokens", F.lit(i + 1), F.size("_tokens")) for i in range(max_words)]
-    windows = F.arrays_zip(*[s.alias(f"_t{i}") for i, s in enumerate(shifted)])
-    starts = tokens.select(key, F.posexplode_outer(windows).alias("pos", "_w"))
-    spans = []
-    for n in range(max_words):
-        whole = F.concat_ws(" ", *[F.col(f"_w._t{i}") for i in range(n + 1)])
-        spans.append(F.when(F.col(f"_w._t{n}").isNotNull(), F.array_distinct(F.array(whole, F.regexp_replace(whole, EDGES, "")))))
-    # The empty phrase, which no table holds, keeps a row for every text.
-    found = F.concat(F.array(F.lit("")), *[F.coalesce(s, F.array().cast("array<string>")) for s in spans])
-    grams = starts.select(key, "pos", F.explode(found).alias("span")).withColumn("phrase", F.lower("span"))
     table = gazetteer.where("phrase <> ''").select(F.lower("phrase").alias("phrase"), "label").groupBy("phrase").agg(
         F.min("label").alias("label")
     )
+    parts = F.split("phrase", f"[{X.BLANKS}]")
+    if max_words is None:
+        max_words = table.agg(F.max(F.size(parts))).scalar() or 1
+    first = F.regexp_replace(F.get(parts, F.lit(0)), EDGES, "")
+    firsts = [r[0] for r in table.select(first).distinct().limit(FIRST_WORDS + 1).collect()]
+    tokens = X.raw_tokens(F.col(text))
+    # The same words, in lower case and without the punctuation at their edges, in one pass over the text.
+    bare = X.raw_tokens(F.col(text), lambda body: F.regexp_replace(F.lower(body), WORD_EDGES, ""))
+    made = df.select(key, tokens.alias("_tokens"), bare.alias("_bare"))
+    places = F.transform("_bare", lambda w, i: F.when(w.isin([*firsts, ""]), i)) if len(firsts) <= FIRST_WORDS else F.transform(
+        "_bare", lambda w, i: i)
+    runs = F.transform(F.array_compact(places), lambda i: F.struct(
+        i.alias("pos"), F.slice("_tokens", i + 1, F.lit(max_words)).alias("w")))
+    starts = made.select(key, runs.alias("_runs")).select(key, F.explode_outer("_runs").alias("_r")).select(
+        key, F.col("_r.pos").alias("pos"), F.col("_r.w").alias("_w"))
+    lengths = F.sequence(F.lit(1), F.size("_w"))
+    spans = F.flatten(F.transform(lengths, lambda n: H.let(
+        F.array_join(F.slice("_w", F.lit(1), n), " "),
+        lambda whole: F.array_distinct(F.array(whole, F.regexp_replace(whole, EDGES, ""))))))
+    # The empty phrase, which no table holds, keeps a row for every text.
+    found = F.concat(F.array(F.lit("")), F.when(F.size("_w") > 0, spans).otherwise(F.array().cast("array<string>")))
+    grams = starts.select(key, "pos", F.explode(found).alias("span")).withColumn("phrase", F.lower("span"))
     hits = lookup_join(grams, table, ["phrase"], salt_by=[key, "pos"])
     entry = F.when(
         F.col("label").isNotNull(), F.struct("pos", F.col("span").alias("text"), "label")

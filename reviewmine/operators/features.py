@@ -84,9 +84,9 @@ def vocabulary(
 
 def tfidf_terms(
     df: DataFrame, key: str, tokens: str, size: int | None = 5000,
-    min_df: int = 1, max_df: float = 1.0,
+    min_df: int = 1, max_df: float = 1.0, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, term, tf, weight): tf times smooth idf, each text scaled to length 1.
+    """(key, *keep, term, tf, weight): tf times smooth idf, each text scaled to length 1.
 
     Rows look the idf of their words up in a broadcast table and are weighted where they stand. Beyond TABLE_WORDS terms
     the words are counted by key and joined by shuffle, hot terms salted.
@@ -96,9 +96,9 @@ def tfidf_terms(
         terms = cut_lineage(terms)  # counted once, then measured and joined
     table = broadcast_words(terms, "term", ["idf"])
     if table is not None:
-        weighed = df.select(key, weigh_words(X.no_null_array(F.col(tokens)), table).alias("_terms"))
-        return weighed.select(key, F.inline("_terms"))
-    counts = explode_words(df, F.col(tokens), [key], "term").groupBy(key, "term").agg(
+        weighed = df.select(key, *keep, weigh_words(X.no_null_array(F.col(tokens)), table).alias("_terms"))
+        return weighed.select(key, *keep, F.inline("_terms"))
+    counts = explode_words(df, F.col(tokens), [key, *keep], "term").groupBy(key, *keep, "term").agg(
         F.count("*").alias("tf")
     )
     weighted = lookup_join(
@@ -107,7 +107,7 @@ def tfidf_terms(
         "_raw", F.col("tf") * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", "tf", (F.col("_raw") / norm).alias("weight"))
+    return weighted.select(key, *keep, "term", "tf", (F.col("_raw") / norm).alias("weight"))
 
 
 # ---- vectors for models ----------------------------------------------------------------

@@ -20,7 +20,7 @@ def fits_broadcast(
     if table.count() > max_rows:
         return False
     width = F.length(F.to_json(F.struct("*")))
-    return table.agg(F.coalesce(F.sum(width), F.lit(0))).scalar() <= max_bytes
+    return table.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0] <= max_bytes
 
 
 def hot_keys(

@@ -209,7 +209,7 @@ def gazetteer_entities(
     )
     parts = F.split("phrase", f"[{X.BLANKS}]")
     if max_words is None:
-        max_words = table.agg(F.max(F.size(parts))).scalar() or 1
+        max_words = table.agg(F.max(F.size(parts))).first()[0] or 1
     first = F.regexp_replace(F.get(parts, F.lit(0)), EDGES, "")
     firsts = [r[0] for r in table.select(first).distinct().limit(FIRST_WORDS + 1).collect()]
     tokens = X.raw_tokens(F.col(text))

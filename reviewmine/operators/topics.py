@@ -57,9 +57,13 @@ def fit_clusters(
     return best
 
 
-def cluster_words(weights: DataFrame, clusters: DataFrame, key: str, cluster: str = "cluster", n: int = 15) -> DataFrame:
-    """Strongest terms per cluster by summed weight, from (key, term, weight) rows."""
-    sums = weights.join(clusters.select(key, cluster), key).groupBy(cluster, "term").agg(
-        F.round(F.sum("weight"), 6).alias("weight")
-    )
+def cluster_words(
+    weights: DataFrame, clusters: DataFrame | None, key: str, cluster: str = "cluster", n: int = 15
+) -> DataFrame:
+    """Strongest terms per cluster by summed weight, from (key, term, weight) rows.
+
+    Rows that carry their cluster need no ``clusters`` (key, cluster); then only sums per cluster and term are shuffled.
+    """
+    rows = weights if clusters is None else weights.join(clusters.select(key, cluster), key)
+    sums = rows.groupBy(cluster, "term").agg(F.round(F.sum("weight"), 6).alias("weight"))
     return top_per_group(sums, cluster, "term", "weight", n)

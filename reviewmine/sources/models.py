@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.clustering import DistributedLDAModel, KMeansModel, LDAModel, LocalLDAModel
 from pyspark.sql import SparkSession
 
 from ..operators.classify import CalibratedSVM
@@ -19,6 +20,16 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_topics(path: str) -> LDAModel:
+    """A topic model of either optimizer."""
+    name = SparkSession.active().read.json(f"{path}/metadata").select("class").first()[0]
+    return (DistributedLDAModel if name.endswith("DistributedLDAModel") else LocalLDAModel).load(path)
+
+
+def load_clusters(path: str) -> KMeansModel:
+    return KMeansModel.load(path)
+
+
 def save_calibrated(model: CalibratedSVM, path: str) -> str:
     """The SVM and its sigmoids, side by side."""
     spark = SparkSession.active()

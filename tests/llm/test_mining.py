@@ -65,14 +65,15 @@ def test_hard_negatives_edges(spark):
 
 def test_boxes_leave_rows_out():
     draw = np.random.default_rng(1)
-    vectors = draw.normal(size=(20_000, 3)) * 100
-    forest = hardneg.Forest(np.arange(20_000), np.zeros(20_000, dtype=int), vectors.round().astype(np.int64))
-    read = []
-    tree = forest.trees[0]
+    vectors = draw.normal(size=(60_000, 3)) * 100
+    forest = hardneg.Forest(np.arange(60_000), np.zeros(60_000, dtype=int), vectors.round().astype(np.int64))
+    tree, tested = forest.trees[0], []
     bounds = tree.bounds
-    tree.bounds = lambda *a: read.append(a[2] - a[1]) or bounds(*a)
-    forest.search(np.array([3, 1, 2]), -1, 0, True, np.array([[-hardneg.WIDE, hardneg.WIDE]]), 5)
-    assert sum(read) < len(tree.starts) / 3
+    tree.bounds = lambda *a: tested.append((a[0], a[2] - a[1])) or bounds(*a)
+    best = forest.search(np.array([3, 1, 2]), -1, 0, True, np.array([[-hardneg.WIDE, hardneg.WIDE]]), 5)[0]
+    scores = vectors.round() @ [3, 1, 2]
+    assert [s for _, s in best] == sorted(scores, reverse=True)[:5]
+    assert sum(n for level, n in tested if level == 0) < len(tree.starts) / 2
 
 
 # ---- best-fit packing --------------------------------------------------------------------

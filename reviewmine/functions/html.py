@@ -1,11 +1,16 @@
-"""Field extraction from stored HTML with SQL functions only.
+"""Field extraction from stored HTML.
 
 Elements are cut by balancing their own tag, so nested elements of the same
-kind do not end a field early.
+kind do not end a field early. Blocks are cut in one scan of a page that notes where every
+element begins and ends (Arrow columns, linear in the page); fields within a block are SQL functions.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -145,6 +150,60 @@ def elements(html: Column, tag: str, marker: str = "") -> Column:
     )
 
 
+def _ranges(page: str, tag: str, marker: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every such element in page order; one that is never closed ends before the next one."""
+    opening = re.compile(_opening(tag, marker))
+    starts, ends, open_ = [], {}, []
+    for m in re.finditer(rf"<(/?){tag}\b[^>]*>?", page):
+        if m[1]:
+            if open_:
+                ends[open_.pop()] = m.end()
+        else:
+            open_.append(m.start())
+            if opening.match(page, m.start()):
+                starts.append(m.start())
+    for i, start in enumerate(starts):
+        yield start, ends.get(start) or (starts[i + 1] if i + 1 < len(starts) else len(page))
+
+
+def blocks(html: Column, *path: tuple[str, str]) -> Column:
+    """All elements (tag, marker) with their tags and all they hold, nested ones as well; of a longer path, those inside the ones before.
+
+    An element that several outer ones hold is given once for the innermost scan of each outermost element. NULL has none.
+    """
+
+    def cut(page: str, steps: tuple[tuple[str, str], ...]) -> list[str]:
+        found, done = [], 0
+        for a, b in _ranges(page, *steps[0]):
+            if len(steps) == 1:
+                found.append(page[a:b])
+            elif a >= done:
+                found += cut(page[a:b], steps[1:])
+                done = b
+        return found
+
+    @F.arrow_udf("array<string>")
+    def run(pages: pa.Array) -> pa.Array:
+        out = []
+        for at in range(0, len(pages), 256):
+            out.append(pa.array([cut(p or "", path) for p in pages.slice(at, 256).to_pylist()], type=pa.list_(pa.string())))
+        return pa.concat_arrays(out) if out else pa.array([], type=pa.list_(pa.string()))
+
+    return run(html)
+
+
+# Elements that do not break a line of text.
+INLINE = ("a", "abbr", "b", "bdi", "cite", "code", "em", "font", "i", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "u", "var")
+UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>|<head\b.*?</head\s*>"
+INLINE_TAGS = rf"(?i)</?(?:{'|'.join(INLINE)})(?:\s[^>]*)?>"
+
+
+def page_text(html: Column) -> Column:
+    """Visible text of a whole page: no head, scripts, styles and comments; block elements part words, inline ones do not. NULL gives ''."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, " "), INLINE_TAGS, ""), "<[^>]*>", " ")
+    return let(bare, lambda t: clean_text(F.when(F.contains(t, F.lit("&")), decode_entities(t)).otherwise(t)))
+
+
 def element_text(html: Column, tag: str, marker: str = "", default: str | None = None) -> Column:
     text = visible_text(inner_html(html, tag, marker))
     return text if default is None else F.coalesce(text, F.lit(default))

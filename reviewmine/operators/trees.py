@@ -206,7 +206,7 @@ def _added(keys: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 def _best_splits(
-    parts: DataFrame, ranges: int, cells: int, bins: int, classes: int, nodes: int, reg: float, least: float,
+    parts: DataFrame, ranges: int, cells: int, bins: int, classes: int, nodes: int, reg: float, least: float, alone: bool,
 ) -> DataFrame:
     """The best split of each class and node within each range of columns."""
     schema = to_arrow_schema(_schema(SPLIT))
@@ -280,8 +280,10 @@ def _best_splits(
         if current is not None:
             yield best(keys, sums, totals)
 
-    # Parts are added in the order of their tasks, so equal inputs give equal trees.
-    return parts.repartition(ranges, "range").sortWithinPartitions("range", "part").mapInArrow(run, SPLIT)
+    # Parts are added in the order of their tasks, so equal inputs give equal trees. A single task's parts need no shuffle.
+    if not alone:
+        parts = parts.repartition(ranges, "range").sortWithinPartitions("range", "part")
+    return parts.mapInArrow(run, SPLIT)
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -402,6 +404,7 @@ def fit_softmax_trees(
     rows = df.select(label, features).persist()
     cuts = quantile_cuts(rows, features, columns, bins)
     blocks = _stored(_blocks(spread(rows), label, features, cuts, classes))
+    alone = blocks.rdd.getNumPartitions() == 1
     rows.unpersist()
     ranges = max(1, -(-columns * bins // RANGE_CELLS))
     starts = np.linspace(0, columns, ranges + 1).round().astype(np.int64)
@@ -415,7 +418,7 @@ def fit_softmax_trees(
             first = 1 << level
             parts_of = _histograms(blocks, bins, classes, recent, trees, first, open_nodes, starts)
             found: dict[tuple[int, int], tuple] = {}
-            for r in _best_splits(parts_of, ranges, columns * bins, bins, classes, first, reg, least).collect():  # classes x nodes x ranges rows
+            for r in _best_splits(parts_of, ranges, columns * bins, bins, classes, first, reg, least, alone).collect():  # classes x nodes x ranges rows
                 key = (r["class"], first + r["node"])
                 sums[key[0]].setdefault(key[1], (r["g"], r["h"]))
                 rank = (-round(r["gain"], 9), r["cell"])

@@ -7,7 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.html import visible_text
+from ..functions import html as H
 from ..functions.ratings import helpful_votes, leading_number, recommends
 from ..functions.text import clean_text
 from ..operators.features import hashing_stages
@@ -259,8 +259,17 @@ def _(spark, folder):
     return pages.select("page_id", P.page_title(F.col("html")).alias("title"))
 
 
-@query("ex11_page_text", None)
+def _decoded(text: str) -> str:
+    for name, char in H.ENTITIES.items():
+        text = f"replace({text}, '{name}', chr({ord(char)}))"
+    return f"replace({text}, '&amp;', '&')"
+
+
+@query("ex11_page_text", f"""
+with bare as (select page_id, regexp_replace(regexp_replace(regexp_replace(html, '{H.UNSEEN}', ' ', 'g'),
+   '{H.INLINE_TAGS}', '', 'g'), '<[^>]*>', ' ', 'g') h from pages),
+decoded as (select page_id, {_decoded('h')} h from bare)
+select page_id, {clean('h')} as body from decoded""")
 def _(spark, folder):
     pages = read_table(spark, folder, "pages", ["page_id", "html"])
-    body = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
-    return pages.select("page_id", visible_text(body).alias("body"))
+    return pages.select("page_id", H.page_text(F.col("html")).alias("body"))

@@ -75,7 +75,7 @@ def _blocks(pages: DataFrame, keep: list[str], found: Column) -> DataFrame:
 def extract_product_cards(pages: DataFrame, html: str = "html", markers: Markers = SHOP) -> DataFrame:
     """One row per product card of a result page, 'N/A' where a field is missing."""
     keep = [c for c in pages.columns if c != html]
-    cards = _blocks(pages, keep, H.elements(F.col(html), *markers.card))
+    cards = _blocks(pages, keep, H.blocks(F.col(html), markers.card))
     card = F.col("_block")
     heading = H.inner_html(card, "h2")
     href = H.attribute(heading, "a", "href")
@@ -94,10 +94,8 @@ def extract_product_cards(pages: DataFrame, html: str = "html", markers: Markers
     return rows.where(F.col("product_url").isNotNull())  # a link without an address drops the card
 
 
-def _spec_rows(html: Column, markers: Markers) -> Column:
+def _spec_rows(rows: Column) -> Column:
     """(heading, value) of every full row of the specification tables."""
-    tables = H.elements(html, *markers.spec_table)
-    rows = F.flatten(F.transform(tables, lambda t: H.elements(t, "tr")))
     full = F.filter(rows, lambda r: H.has_element(r, "th") & H.has_element(r, "td"))
     return F.transform(
         full,
@@ -132,10 +130,11 @@ def extract_technical_details(pages: DataFrame, html: str = "html", markers: Mar
     """asins, brand, manufacturer and the (always empty) categories of a product page."""
     keep = [c for c in pages.columns if c != html]
     box = H.inner_html(F.col(html), *markers.bullets)
-    parts = pages.select(
+    cut = pages.select(*keep, html, H.blocks(F.col(html), markers.spec_table, ("tr", "")).alias("_tr"))
+    parts = cut.select(
         *keep,
         H.element_text(F.col(html), *markers.title, default="").alias("name"),
-        _spec_rows(F.col(html), markers).alias("_rows"),
+        _spec_rows(F.col("_tr")).alias("_rows"),
         F.transform(H.elements(box, *markers.bullet), H.visible_text).alias("_bullets"),
     )
 
@@ -158,7 +157,7 @@ def page_title(html: Column) -> Column:
 
 def link_targets(html: Column) -> Column:
     """Addresses of all list links of a page, in order."""
-    return F.regexp_extract_all(html, F.lit(r'<li><a href="([^"]*)">'), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(r"""(?i)<li\b[^>]*>\s*<a\b[^>]*\shref\s*=\s*["']([^"']*)["']"""), F.lit(1))
 
 
 def extract_reviews(
@@ -173,7 +172,7 @@ def extract_reviews(
     seen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if seen_at is None else seen_at
     keep = [c for c in pages.columns if c != html]
     blocks = _blocks(
-        pages.withColumn("_seen", seen), [*keep, "_seen"], H.elements(F.col(html), *markers.review)
+        pages.withColumn("_seen", seen), [*keep, "_seen"], H.blocks(F.col(html), markers.review)
     )
     block = F.col("_block")
     stars = F.coalesce(

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reviewmine.functions import html as H
 from reviewmine.functions.html import element_text, visible_text
 from reviewmine.schema import FLAT_NAMES, REVIEW_COLUMNS, typed_reviews
 from reviewmine.sources import pages as P
@@ -171,3 +172,41 @@ def test_preview_and_columns(spark):
     df = spark.range(50)
     assert [r["id"] for r in R.preview(df, 3, "id").collect()] == [0, 1, 2]
     assert R.describe_columns(df) == [("id", "bigint")]
+
+
+def test_nested_blocks_and_rows_come_whole(spark):
+    inner = '<div data-hook="review" id="r2"><span data-hook="review-body">inner</span></div>'
+    page = (
+        '<div data-hook="review" id="r1"><i data-hook="review-star-rating"><span>4.0 out of 5</span></i>' + inner
+        + '<span data-hook="review-body">outer <span>text</span></span></div><div data-hook="review" id="r3">never closed'
+    )
+    rows = P.extract_reviews(spark.createDataFrame([("u", page), ("v", None)], "url string, html string")).orderBy("position").collect()
+    assert [r["review_id"] for r in rows] == ["r1", "r2", "r3"]
+    assert [r["review_text"] for r in rows] == ["inner", "inner", ""] and [r["review_rating"] for r in rows] == [4.0, 0.0, 0.0]
+    blocks = spark.createDataFrame([(page,)], "html string").select(H.blocks(F.col("html"), ("div", "")).alias("b")).first()["b"]
+    assert blocks[0].endswith("</span></span></div>") and inner in blocks[0] and blocks[1] == inner and blocks[2].endswith("never closed")
+    table = (
+        '<table class="prodDetTable"><tr><th>Brand</th><td>Acme <table><tr><th>Sub</th><td>x</td></tr></table> Ltd</td></tr>'
+        "<tr><th>ASIN</th><td>B01</td></tr></table>"
+    )
+    got = P.extract_technical_details(spark.createDataFrame([("u", table)], "url string, html string")).first()
+    assert (got["brand"], got["asins"]) == ("Acme Subx Ltd", "B01")
+
+
+def test_blocks_take_linear_time(spark):
+    import time
+
+    page = "<div>" * 20_000 + "x" + '<div data-hook="review">' * 500 + "</div>" * 100
+    began = time.perf_counter()
+    assert len(list(H._ranges(page, *P.SHOP.review))) == 500
+    assert time.perf_counter() - began < 2
+
+
+def test_whole_page_text(spark):
+    page = (
+        "<html><head><title>T</title></head><body class='x'><article class=\"a\"><h1>One &amp; two</h1><p>He<b>ll</b>o</p>"
+        "<article><p>in&nbsp;ner</p></article><script>var p = '</p>';</script><!-- no --><STYLE>p{}</STYLE>after</article><p>end"
+    )
+    rows = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "plain")], "k int, html string")
+    got = {r["k"]: r["t"] for r in rows.select("k", H.page_text(F.col("html")).alias("t")).collect()}
+    assert got == {1: "One & two Hello in ner after end", 2: "", 3: "", 4: "plain"}

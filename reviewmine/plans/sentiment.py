@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +13,9 @@ from ..operators import classify as M
 from ..operators.clean import with_sentiment
 from ..operators.evaluate import classification_report, f1_scores
 from ..operators.features import fit_vectorizer, label_indexer
-from ..sources.models import load_calibrated, save_calibrated, save_model
+from ..operators.linear import CalibratedSVM, fit_calibrated_svm
+from ..operators.trees import BoostedTrees, fit_softmax_trees
+from ..sources.models import save_model
 
 KINDS = ("logistic", "trees", "svm")
 
@@ -33,8 +35,7 @@ class SentimentModel:
         if self.kind == "logistic":
             rows, column = self.classifier.transform(rows), "probability"
         elif self.kind == "trees":
-            rows = M.tree_probabilities(M.score_classes(self.classifier, rows), len(self.labels), "_p")
-            column = "_p"
+            rows, column = self.classifier.transform(rows, out="_p"), "_p"
         else:
             rows, column = self.classifier.transform(rows, "_p"), "_p"
         named = M.probability_map(rows, self.labels, column, "_map")
@@ -47,10 +48,10 @@ class SentimentModel:
 
     def save(self, path: str) -> str:
         save_model(self.vectorizer, f"{path}/vectorizer")
-        if self.kind == "svm":
-            save_calibrated(self.classifier, f"{path}/classifier")
-        else:
+        if self.kind == "logistic":
             save_model(self.classifier, f"{path}/classifier")
+        else:
+            self.classifier.save(f"{path}/classifier")
         spark = SparkSession.active()
         rows = [(self.kind, i, x) for i, x in enumerate(self.labels)]
         spark.createDataFrame(rows, "kind string, index int, label string").write.mode(
@@ -63,7 +64,7 @@ class SentimentModel:
         spark = SparkSession.active()
         rows = spark.read.parquet(f"{path}/labels").orderBy("index").collect()  # one row per class
         kind = rows[0]["kind"]
-        readers = {"logistic": LogisticRegressionModel.load, "trees": OneVsRestModel.load, "svm": load_calibrated}
+        readers = {"logistic": LogisticRegressionModel.load, "trees": BoostedTrees.load, "svm": CalibratedSVM.load}
         return SentimentModel(
             kind, PipelineModel.load(f"{path}/vectorizer"), readers[kind](f"{path}/classifier"),
             [r["label"] for r in rows],
@@ -78,16 +79,19 @@ def train_sentiment(
     if kind not in KINDS:
         raise ValueError(f"kind is one of {KINDS}")
     rows = with_sentiment(reviews, rating).where(F.col(text).isNotNull()).select(key, text, "sentiment")
-    vectorizer, _ = fit_vectorizer(rows, text, size)
+    vectorizer, terms = fit_vectorizer(rows, text, size)
     indexer, _ = label_indexer(rows, "sentiment")
     train, test = M.split_rows(indexer.transform(rows), key, train_percent, seed)
     vectors = vectorizer.transform(train).select(key, "label", "features").persist()
     if kind == "logistic":
         classifier = M.fit_multinomial_lr(vectors, **settings)
     elif kind == "trees":
-        classifier = M.fit_boosted_trees(vectors, **settings)
+        classifier = fit_softmax_trees(vectors, len(indexer.labels), len(terms), **settings)
     else:
-        classifier = M.fit_calibrated_svm(vectors, key, len(indexer.labels), **settings)
+        folds = settings.pop("folds", 5)
+        fold = M.row_bucket(vectors.select(key), key, seed, folds)
+        classifier = fit_calibrated_svm(
+            vectors, len(terms), len(indexer.labels), fold, folds, passes=settings.pop("max_iter", 100), **settings)
     vectors.unpersist()
     model = SentimentModel(kind, vectorizer, classifier, list(indexer.labels))
     return model, model.score(test)

@@ -1,12 +1,16 @@
 """Paths that only large or skewed tables take, forced on small ones."""
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reviewmine.operators import features as FE
 from reviewmine.operators import joins
+from reviewmine.functions import text as X
 from reviewmine.operators import ordering as O
+from reviewmine.operators import text as TX
 from reviewmine.operators.stats import hash_sample, top_per_group
 
 
@@ -89,3 +93,48 @@ def test_weights_of_terms_are_not_shuffled(spark):
     df = spark.createDataFrame([(i, [f"w{i % 5}", "all"]) for i in range(50)], "k int, w array<string>")
     executed = FE.tfidf_terms(df, "k", "w", 10)._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange hashpartitioning(k") == 1
+
+
+def test_words_are_looked_up_in_place_or_joined(spark):
+    texts = [(i, f"The Running dogs, was 'studies' {w} {w} and") for i, w in enumerate(["flies", "", "caresses", "was", "der  die"] * 8)]
+    df = spark.createDataFrame(texts + [(90, None), (91, ""), (92, "   ")], "k int, t string")
+    lemmas = spark.createDataFrame([("was", "v", "be"), ("dogs,", "n", "dog")], "word string, pos string, lemma string")
+    verbs = spark.createDataFrame([("was",), ("running",)], "word string")
+    both = [TX.lemmatize(df, "k", "t", lemmas, verbs, True, most=m) for m in (1000, 0)]
+    assert sorted(map(tuple, both[0].collect())) == sorted(map(tuple, both[1].collect()))
+    tokens = df.withColumn("w", X.tokens(F.col("t")))
+    both = [TX.with_stems(tokens, "w", "s", most=m).select("k", "s") for m in (1000, 0)]
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+
+
+def test_weights_in_place_equal_joined_ones(spark, monkeypatch):
+    draw = random.Random(2)
+    rows = [(i, draw.choices(["a", "b", "c", "dd", "e"], k=draw.randint(0, 9)), i % 2) for i in range(60)] + [(99, None, 1)]
+    df = spark.createDataFrame(rows, "k int, w array<string>, g int")
+    place = lambda: sorted((r["k"], r["g"], r["term"], r["tf"], round(r["weight"], 9)) for r in FE.tfidf_terms(df, "k", "w", 4, keep=["g"]).collect())
+    direct = place()
+    monkeypatch.setattr(FE, "broadcast_words", lambda *a: None)
+    assert direct and place() == direct
+
+
+def test_no_text_or_token_is_shuffled(spark):
+    df = spark.createDataFrame([(1, "some words here"), (2, "more of them")], "k int, t string").withColumn("w", X.tokens(F.col("t")))
+    lemmas = spark.createDataFrame([("words", "n", "word")], "word string, pos string, lemma string")
+    for made in (TX.lemmatize(df, "k", "t", lemmas), TX.with_stems(df, "w"), FE.tfidf_terms(df, "k", "w", 10)):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_phrases_of_any_length(spark, monkeypatch):
+    phrases = [("the Quick brown fox jumps", "LONG"), ("fox", "ANIMAL"), ("C++", "TOOL"), ("of the", "X"), (".net core", "TOOL")]
+    gazetteer = spark.createDataFrame(phrases, "phrase string, label string")
+    texts = [(1, 'See: "The quick brown fox jumps", twice'), (2, "C++ and c++, .NET core of  the"), (3, None), (4, "- fox"), (5, "nothing")]
+    df = spark.createDataFrame(texts, "k int, t string")
+
+    def found():
+        return {r["k"]: [(e["text"], e["label"]) for e in r["entities"]] for r in TX.gazetteer_entities(df, "k", "t", gazetteer).collect()}
+
+    direct = found()
+    assert direct[1] == [("The quick brown fox jumps", "LONG"), ("fox", "ANIMAL")] and direct[3] == direct[5] == []
+    assert [e for e, _ in direct[2]] == ["C++", ".NET core"] and ("fox", "ANIMAL") in direct[4]
+    monkeypatch.setattr(TX, "FIRST_WORDS", 1)
+    assert found() == direct

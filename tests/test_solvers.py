@@ -101,7 +101,8 @@ def test_trees_save_and_edges(spark, points, tmp_path):
     assert one.transform(rows).first().prediction == 1.0
 
 
-def test_a_level_is_one_shuffle_of_sums(spark, points):
+def test_a_level_is_one_shuffle_of_sums(spark, points, monkeypatch):
+    monkeypatch.setattr(blocks, "TASK_ROWS", 80)
     x, y = points
     plans = []
     real = trees._best_splits

@@ -39,7 +39,7 @@ def _stored(spark, folder):
 with {T.FULL_REVIEWS_SQL}
 select id, review_id, review_rating, "review_dateSeen", review_title, review_text from full_reviews""")
 def _(spark, folder):
-    return R.read_reviews(spark, _stored(spark, folder), multi_line=True).select(
+    return R.read_reviews(spark, _stored(spark, folder)).select(
         "id", "review_id", "review_rating", "review_dateSeen", "review_title", "review_text"
     )
 
@@ -47,12 +47,12 @@ def _(spark, folder):
 @query("io2_write_reviews", _FILE_SQL)
 def _(spark, folder):
     stored = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+        spark.read.option("header", True).option("escape", '"')
         .csv(_stored(spark, folder))
     )
     if stored.columns != REVIEW_COLUMNS:
         raise ValueError("column order of the file changed")
-    return stored.select(*[F.col(f"`{c}`").alias(FLAT_NAMES[c]) for c in REVIEW_COLUMNS])
+    return stored.select(*[R.unescaped(F.col(f"`{c}`")).alias(FLAT_NAMES[c]) for c in REVIEW_COLUMNS])
 
 
 _NESTED_COLUMNS = ["id", "name", "review_id", "review_title", "review_rating", "review_numHelpful"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +12,30 @@ from ..schema import FILE_SCHEMA, PRODUCT_FIELDS, REVIEW_COLUMNS, REVIEW_FIELDS,
 PADDING = {"numHelpful": 0, "rating": 0.0}
 
 
+# Line breaks stand in files as this sign and a letter, so that every row is one line; the sign itself as sign and "e".
+SIGN = "\u241b"
+ESCAPES = {SIGN: f"{SIGN}e", "\n": f"{SIGN}n", "\r": f"{SIGN}r"}
+
+
+def escaped(column: Column) -> Column:
+    for plain, written in ESCAPES.items():
+        column = F.replace(column, F.lit(plain), F.lit(written))
+    return column
+
+
+def unescaped(column: Column) -> Column:
+    whole = column
+    for plain, written in reversed(ESCAPES.items()):
+        whole = F.replace(whole, F.lit(written), F.lit(plain))
+    return F.when(F.contains(column, F.lit(SIGN)), whole).otherwise(column)
+
+
 def read_reviews(
     spark: SparkSession, path: str, multi_line: bool = False, fmt: str = "csv"
 ) -> DataFrame:
-    """Review table with flat column names, every field as text.
+    """Review table with flat column names, every field as text; line breaks come back as ``write_reviews`` found them.
 
-    ``multi_line`` accepts line breaks within quotes; each such file is read by one task, so large tables
-    should be written as many files (``max_rows`` of ``write_reviews``) or as parquet.
+    ``multi_line`` accepts line breaks within quotes, for files of other writers; each such file is read by one task.
     """
     if fmt == "parquet":
         return to_flat(spark.read.parquet(path))
@@ -28,11 +45,12 @@ def read_reviews(
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
-    return to_flat(reader.csv(path))
+    rows = reader.csv(path)
+    return to_flat(rows.select(*[unescaped(F.col(f"`{c}`")).alias(c) for c in rows.columns]))
 
 
 def write_reviews(df: DataFrame, path: str, mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
-    """The 22 columns in file order, UTF-8, with header; arrays joined by commas.
+    """The 22 columns in file order, UTF-8, with header; arrays joined by commas, line breaks escaped.
 
     An empty text is written as nothing, so a reader sees NULL. A file holds at most ``max_rows`` rows.
     """
@@ -46,7 +64,7 @@ def write_reviews(df: DataFrame, path: str, mode: str = "overwrite", max_rows: i
         if isinstance(dotted.schema[name].dataType, T.ArrayType):
             joined = F.array_join(column, ",")
             column = F.concat(F.lit("["), joined, F.lit("]")) if name == "categories" else joined
-        columns.append(column.cast("string").alias(name))
+        columns.append(escaped(column.cast("string")).alias(name))
     (
         dotted.select(*columns)
         .write.mode(mode)

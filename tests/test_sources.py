@@ -210,3 +210,12 @@ def test_whole_page_text(spark):
     rows = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "plain")], "k int, html string")
     got = {r["k"]: r["t"] for r in rows.select("k", H.page_text(F.col("html")).alias("t")).collect()}
     assert got == {1: "One & two Hello in ner after end", 2: "", 3: "", 4: "plain"}
+
+
+def test_line_breaks_survive_the_default_reader(spark, tmp_path):
+    texts = ["one\ntwo", "cr\r\nlf", f"sign {R.SIGN}n kept {R.SIGN}", 'quote " and\n"more"', "plain, comma", f"{R.SIGN}e{R.SIGN}"]
+    rows = spark.createDataFrame([(f"r{i}", t) for i, t in enumerate(texts)], "review_id string, review_text string")
+    R.write_reviews(rows, str(tmp_path / "out"))
+    for multi_line in (False, True):
+        back = R.read_reviews(spark, str(tmp_path / "out"), multi_line=multi_line)
+        assert sorted(map(tuple, back.select("review_id", "review_text").collect())) == sorted(map(tuple, rows.collect()))

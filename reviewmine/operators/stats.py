@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -92,6 +92,51 @@ def item_ratings(df: DataFrame, item: str, rating: str, z: float = 1.96) -> Data
     )
 
 
+EXACT_POISSON = 60  # means from here on are drawn by the normal approximation
+
+
+def _uniform(digest: Column, start: int) -> Column:
+    """A number in (0, 1) from 8 hexadecimal digits."""
+    return (F.conv(F.substring(digest, start, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
+
+
+def _poisson(n: Column, u: Column, v: Column) -> Column:
+    """Poisson number of mean ``n`` from two uniform ones: by the distribution, or by its normal approximation."""
+    first = F.struct(F.lit(0).cast("double").alias("k"), F.exp(-n).alias("p"), F.exp(-n).alias("sum"))
+
+    def step(acc: Column, i: Column) -> Column:
+        p = acc["p"] * n / (acc["k"] + 1)
+        return F.when(acc["sum"] >= u, acc).otherwise(F.struct((acc["k"] + 1).alias("k"), p.alias("p"), (acc["sum"] + p).alias("sum")))
+
+    exact = F.aggregate(F.sequence(F.lit(1), (n * 3 + 20).cast("int")), first, step)["k"]
+    normal = F.greatest(F.lit(0.0), F.floor(n + F.sqrt(n) * F.sqrt(-2 * F.ln(u)) * F.cos(F.lit(6.283185307179586) * v) + 0.5).cast("double"))
+    return F.when(n < EXACT_POISSON, exact).otherwise(normal)
+
+
+def bootstrap_intervals(
+    df: DataFrame, item: str, rating: str, replicates: int = 1000, share: float = 0.95, seed: int = 42
+) -> DataFrame:
+    """Mean rating per item with the middle ``share`` of its bootstrap means: item, n_rated, mean_rating, low, high.
+
+    Poisson bootstrap: every row stands in every replicate a Poisson number of times. Equal ratings of an item are counted
+    first, for their numbers add up to one Poisson number of that mean; so the replicates are made from as many rows as there are
+    different ratings, and one grouping by item and replicate holds them all. The numbers come from a hash of item,
+    rating, replicate and seed, the same on any cluster.
+    """
+    value = rating_number(F.col(rating))
+    counts = df.where(F.col(item).isNotNull() & value.isNotNull()).groupBy(F.col(item), value.alias("_value")).agg(
+        F.count("*").cast("double").alias("_n"))
+    drawn = counts.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("_digest", F.md5(F.concat_ws(
+        "|", F.col(item).cast("string"), F.col("_value").cast("string"), F.col("_r").cast("string"), F.lit(str(seed)))))
+    weighed = drawn.withColumn("_w", _poisson(F.col("_n"), _uniform(F.col("_digest"), 1), _uniform(F.col("_digest"), 9)))
+    means = weighed.groupBy(item, "_r").agg(F.try_divide(F.sum(F.col("_w") * F.col("_value")), F.sum("_w")).alias("_mean"))
+    ends = [(1 - share) / 2, (1 + share) / 2]
+    bounds = means.groupBy(item).agg(*[F.percentile("_mean", e).alias(c) for e, c in zip(ends, ("low", "high"))])
+    whole = counts.groupBy(item).agg(
+        F.sum("_n").cast("bigint").alias("n_rated"), (F.sum(F.col("_n") * F.col("_value")) / F.sum("_n")).alias("mean_rating"))
+    return whole.join(bounds, item)
+
+
 def share_recommended(df: DataFrame, item: str, flag: str) -> DataFrame:
     recommended = F.col(flag).try_cast("boolean").cast("int")
     return df.where(F.col(item).isNotNull()).groupBy(item).agg(

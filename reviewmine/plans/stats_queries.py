@@ -80,6 +80,26 @@ def _(spark, folder):
     return stats.select("id", "n", "n_rated", *[F.round(c, 6).alias(c) for c in ("mean_rating", "low", "high")])
 
 
+_POISSON_SQL = """case when n < 60 then list_reduce(list_prepend({'k': 0.0::double, 'p': exp(-n), 's': exp(-n)},
+    list_transform(range(1, cast(trunc(n * 3 + 20) as bigint) + 1), lambda i: {'k': 0.0::double, 'p': 0.0::double, 's': 0.0::double})),
+    lambda a, b: case when a.s >= u then a else {'k': a.k + 1, 'p': a.p * n / (a.k + 1), 's': a.s + a.p * n / (a.k + 1)} end).k
+  else greatest(0.0, floor(n + sqrt(n) * sqrt(-2 * ln(u)) * cos(6.283185307179586 * v) + 0.5)) end"""
+
+
+@query("ag7_bootstrap_intervals", _R + f"""
+, c as (select id, try_cast(rating_raw as double) r, cast(count(*) as double) n from reviews where try_cast(rating_raw as double) is not null group by all),
+h as (select *, md5(concat_ws('|', id, cast(r as varchar), cast(rep as varchar), '42')) d from c, range(1, 1001) t(rep)),
+u as (select *, (cast('0x' || substr(d, 1, 8) as bigint) + 0.5::double) / 4294967296.0::double u, (cast('0x' || substr(d, 9, 8) as bigint) + 0.5::double) / 4294967296.0::double v from h),
+w as (select *, {_POISSON_SQL} w from u),
+m as (select id, rep, sum(w * r) / nullif(sum(w), 0) m from w group by all),
+b as (select id, quantile_cont(m, 0.025) low, quantile_cont(m, 0.975) high from m group by id),
+g as (select id, cast(sum(n) as bigint) n_rated, sum(n * r) / sum(n) mean_rating from c group by id)
+select id, n_rated, round(mean_rating, 9) mean_rating, round(low, 9) low, round(high, 9) high from g join b using (id)""")
+def _(spark, folder):
+    found = S.bootstrap_intervals(T.reviews(spark, folder), "id", "rating_raw")
+    return found.select("id", "n_rated", *[F.round(c, 9).alias(c) for c in ("mean_rating", "low", "high")])
+
+
 @query("ag8_share_recommended", _R + """
 select asins, count(*) n, round(avg(case when coalesce(try_cast(rating_raw as double) >= 4, true) then 1 else 0 end), 6) share_recommended
 from reviews group by asins""")

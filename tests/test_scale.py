@@ -11,7 +11,7 @@ from reviewmine.operators import joins
 from reviewmine.functions import text as X
 from reviewmine.operators import ordering as O
 from reviewmine.operators import text as TX
-from reviewmine.operators.stats import hash_sample, top_per_group
+from reviewmine.operators.stats import bootstrap_intervals, hash_sample, top_per_group
 
 
 def test_size_check(spark):
@@ -138,3 +138,19 @@ def test_phrases_of_any_length(spark, monkeypatch):
     assert [e for e, _ in direct[2]] == ["C++", ".NET core"] and ("fox", "ANIMAL") in direct[4]
     monkeypatch.setattr(TX, "FIRST_WORDS", 1)
     assert found() == direct
+
+
+def test_bootstrap_intervals_cover_the_mean(spark):
+    draw = random.Random(8)
+    rows = [("big", str(float(draw.randint(1, 5)))) for _ in range(3000)] + [("one", "4.0")] + [("few", r) for r in ("1.0", "5.0", "3.0", "x", None)]
+    rows += [(None, "5.0"), ("none", "bad")]
+    df = spark.createDataFrame(rows, "item string, rating string")
+    got = {r["item"]: r for r in bootstrap_intervals(df, "item", "rating", replicates=400).collect()}
+    assert set(got) == {"big", "one", "few"} and (got["one"]["low"], got["one"]["high"], got["one"]["n_rated"]) == (4.0, 4.0, 1)
+    values = [float(r) for i, r in rows if i == "big"]
+    mean = sum(values) / len(values)
+    spread = (sum((v - mean) ** 2 for v in values) / (len(values) - 1)) ** 0.5 / len(values) ** 0.5
+    assert abs(got["big"]["low"] - (mean - 1.96 * spread)) < spread / 2 and abs(got["big"]["high"] - (mean + 1.96 * spread)) < spread / 2
+    assert got["few"]["low"] < 3 < got["few"]["high"] and got["few"]["mean_rating"] == 3
+    again = bootstrap_intervals(df.repartition(7), "item", "rating", replicates=400).collect()
+    assert {r["item"]: r for r in again} == got

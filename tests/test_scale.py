@@ -92,7 +92,7 @@ def test_sample_does_not_depend_on_partitions(spark):
 def test_weights_of_terms_are_not_shuffled(spark):
     df = spark.createDataFrame([(i, [f"w{i % 5}", "all"]) for i in range(50)], "k int, w array<string>")
     executed = FE.tfidf_terms(df, "k", "w", 10)._jdf.queryExecution().executedPlan().toString()
-    assert executed.count("Exchange hashpartitioning(k") == 1
+    assert "Exchange" not in executed
 
 
 def test_words_are_looked_up_in_place_or_joined(spark):

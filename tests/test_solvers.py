@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from reviewmine.operators import blocks, linear, svd, trees
+from reviewmine.operators import blocks, linear, recommend, svd, trees
 
 
 def sparse_table(spark, matrix, labels, dense_every=3):
@@ -209,3 +209,24 @@ def test_svd_of_low_rank_and_of_nothing(spark):
     assert svd.fit_truncated_svd(table.limit(0), 30, 5).vectors.shape == (30, 0)
     with pytest.raises(ValueError):
         svd.fit_truncated_svd(table, 1 << 24, 5)
+
+
+# ---- recommendation ----------------------------------------------------------------------
+
+
+def test_best_items_are_brute_force(monkeypatch):
+    draw = np.random.default_rng(4)
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", 16)
+    items = draw.random((500, 4)) * draw.random((500, 1)) ** 3
+    items[100:110] = items[0]  # equal scores
+    ids = draw.permutation(500)
+    norms = np.linalg.norm(items, axis=1)
+    order = np.lexsort((ids, -norms))
+    users = np.vstack([draw.random((80, 4)), np.zeros((1, 4))])
+    found, scores, made = recommend.best_items(users, ids[order], items[order], norms[order], 5)
+    for u, own, score in zip(users, found, scores):
+        want = sorted(zip(-np.round(items @ u, 12), ids))[:5]
+        assert [i for _, i in want] == own.tolist() and np.allclose([-s for s, _ in want], score)
+    assert made < len(users) * len(items) / 2  # most items are never looked at
+    few, _, _ = recommend.best_items(users, ids[:3], items[:3], norms[:3], 5)
+    assert few.shape == (81, 3)

@@ -117,7 +117,7 @@ def test_plans_use_every_piece_once_and_few_sequences():
 
 
 def test_exact_complements_fill_sequences():
-    histogram = {2000: 50, 48: 20, 30: 15, 18: 15, 10: 15, 20: 15, 1100: 7, 948: 7}
+    histogram = {2000: 50, 48: 20, 30: 15, 18: 30, 10: 15, 20: 15, 1100: 7, 948: 7}
     plan = bestfit.plan_sequences(histogram)
     assert all(sum(k * a for k, a in pattern.items()) == 2048 for pattern, _ in plan)
     assert sum(t for _, t in plan) == 57

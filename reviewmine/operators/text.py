@@ -189,7 +189,7 @@ _SIGN = rf"[^\p{{L}}\p{{N}}{X.BLANKS}]"
 WORD_EDGES = rf"(?<![^{X.BLANKS}]){_SIGN}++|(?<!{_SIGN}){_SIGN}++(?![^{X.BLANKS}])"  # and around every word
 
 
-FIRST_WORDS = 20_000  # different first words of phrases that are tested inside the row
+FIRST_WORDS = 20_000  # phrases, and different first words of them, that are tested inside the row
 
 
 def gazetteer_entities(
@@ -201,8 +201,8 @@ def gazetteer_entities(
     One (key, out) row per text, in text order; a text without a hit has [].
 
     Punctuation is taken off all words of a text at once. Only a word that begins some phrase, or that is nothing but
-    punctuation, opens a run; so the rows that are exploded and looked up are few. With more than FIRST_WORDS
-    different first words every word opens one.
+    punctuation, opens a run, and only runs that are phrases leave their row. With more than FIRST_WORDS
+    different first words every word opens a run, with as many phrases every run is looked up by a join.
     """
     table = gazetteer.where("phrase <> ''").select(F.lower("phrase").alias("phrase"), "label").groupBy("phrase").agg(
         F.min("label").alias("label")
@@ -212,23 +212,29 @@ def gazetteer_entities(
         max_words = table.agg(F.max(F.size(parts))).first()[0] or 1
     first = F.regexp_replace(F.get(parts, F.lit(0)), EDGES, "")
     firsts = [r[0] for r in table.select(first).distinct().limit(FIRST_WORDS + 1).collect()]
-    tokens = X.raw_tokens(F.col(text))
+    phrases = [r[0] for r in table.select("phrase").limit(FIRST_WORDS + 1).collect()]
     # The same words, in lower case and without the punctuation at their edges, in one pass over the text.
     bare = X.raw_tokens(F.col(text), lambda body: F.regexp_replace(F.lower(body), WORD_EDGES, ""))
-    made = df.select(key, tokens.alias("_tokens"), bare.alias("_bare"))
-    places = F.transform("_bare", lambda w, i: F.when(w.isin([*firsts, ""]), i)) if len(firsts) <= FIRST_WORDS else F.transform(
-        "_bare", lambda w, i: i)
-    runs = F.transform(F.array_compact(places), lambda i: F.struct(
-        i.alias("pos"), F.slice("_tokens", i + 1, F.lit(max_words)).alias("w")))
-    starts = made.select(key, runs.alias("_runs")).select(key, F.explode_outer("_runs").alias("_r")).select(
-        key, F.col("_r.pos").alias("pos"), F.col("_r.w").alias("_w"))
-    lengths = F.sequence(F.lit(1), F.size("_w"))
-    spans = F.flatten(F.transform(lengths, lambda n: H.let(
-        F.array_join(F.slice("_w", F.lit(1), n), " "),
-        lambda whole: F.array_distinct(F.array(whole, F.regexp_replace(whole, EDGES, ""))))))
-    # The empty phrase, which no table holds, keeps a row for every text.
-    found = F.concat(F.array(F.lit("")), F.when(F.size("_w") > 0, spans).otherwise(F.array().cast("array<string>")))
-    grams = starts.select(key, "pos", F.explode(found).alias("span")).withColumn("phrase", F.lower("span"))
+
+    def opened(words: Column) -> Column:
+        places = F.transform(bare, lambda w, i: F.when(w.isin([*firsts, ""]), i) if len(firsts) <= FIRST_WORDS else i)
+        # A slice would copy the whole text's words for every run.
+        return F.transform(F.array_compact(places), lambda i: F.struct(i.alias("pos"), F.array_compact(
+            F.transform(F.sequence(F.lit(0), F.lit(max_words - 1)), lambda n: F.get(words, (i + n).cast("int")))).alias("w")))
+
+    def spans(run: Column) -> Column:
+        lengths = F.filter(F.sequence(F.lit(1), F.lit(max_words)), lambda n: n <= F.size(run["w"]))
+        return F.flatten(F.transform(lengths, lambda n: H.let(
+            F.array_join(F.slice(run["w"], F.lit(1), n), " "),
+            lambda whole: F.transform(
+                F.array_distinct(F.array(whole, F.regexp_replace(whole, EDGES, ""))),
+                lambda s: F.struct(run["pos"].alias("pos"), s.alias("span"), F.lower(s).alias("phrase"))))))
+
+    # A text is split once: inside a function over an array, a bare expression would be computed for every element.
+    made = F.flatten(H.let(X.raw_tokens(F.col(text)), lambda words: F.transform(opened(words), spans)))
+    if len(phrases) <= FIRST_WORDS:
+        made = F.filter(made, lambda s: s["phrase"].isin(phrases))
+    grams = df.select(key, made.alias("_spans")).select(key, F.explode_outer("_spans").alias("_s")).select(key, "_s.*")
     hits = lookup_join(grams, table, ["phrase"], salt_by=[key, "pos"])
     entry = F.when(
         F.col("label").isNotNull(), F.struct("pos", F.col("span").alias("text"), "label")

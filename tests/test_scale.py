@@ -154,3 +154,15 @@ def test_bootstrap_intervals_cover_the_mean(spark):
     assert got["few"]["low"] < 3 < got["few"]["high"] and got["few"]["mean_rating"] == 3
     again = bootstrap_intervals(df.repartition(7), "item", "rating", replicates=400).collect()
     assert {r["item"]: r for r in again} == got
+
+
+def test_long_texts_are_split_once_for_all_runs(spark):
+    # 40,000 runs: an operator that takes or copies the words anew for each of them needs minutes.
+    import time
+
+    text = " ".join(["de la", "x."] * 20_000)
+    df = spark.createDataFrame([(1, text), (2, None)], "k int, t string")
+    gazetteer = spark.createDataFrame([("de la", "GPE"), ("x y", "NONE")], "phrase string, label string")
+    began = time.monotonic()
+    found = {r["k"]: r["entities"] for r in TX.gazetteer_entities(df, "k", "t", gazetteer).collect()}
+    assert len(found[1]) == 20_000 and found[2] == [] and time.monotonic() - began < 30

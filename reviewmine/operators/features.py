@@ -97,7 +97,8 @@ def tfidf_terms(
     table = broadcast_words(terms, "term", ["idf"])
     if table is not None:
         weighed = df.select(key, *keep, weigh_words(X.no_null_array(F.col(tokens)), table).alias("_terms"))
-        return weighed.select(key, *keep, F.inline("_terms"))
+        # A plain inline would add a size test that weighs the words a second time, in workers of its own.
+        return weighed.select(key, *keep, F.inline_outer("_terms")).where("term is not null")
     counts = explode_words(df, F.col(tokens), [key, *keep], "term").groupBy(key, *keep, "term").agg(
         F.count("*").alias("tf")
     )

@@ -1,7 +1,7 @@
 """Work on the words of a row by tables that are read inside the row.
 
-A table of words (stems, lemmas, term weights) is broadcast once its size is checked. Rows then look up their distinct
-words batch by batch in Arrow columns, so no text and no token is shuffled. Functions return None where a table
+A table of words (stems, lemmas, term weights) is broadcast as Arrow columns once its size is checked. Rows then look up
+their distinct words batch by batch, so no text and no token is shuffled. Functions return None where a table
 is beyond the bound; their callers take another way there.
 """
 
@@ -14,12 +14,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TABLE_WORDS = 300_000  # words of a broadcast table
-TABLE_CHARS = 16_000_000
+TABLE_WORDS = 4_000_000  # words of a broadcast table
+TABLE_CHARS = 64_000_000
+SLICE = 512  # rows that are weighed at one time
 
 
 def broadcast_words(table: DataFrame, word: str, values: list[str], most: int = TABLE_WORDS) -> Broadcast | None:
-    """{word: value or tuple of values} for all tasks, or None where the table has more than ``most`` words.
+    """The words and their values as an Arrow table for all tasks, or None where there are more than ``most`` words.
 
     The table is made once and measured before it is fetched.
     """
@@ -27,8 +28,7 @@ def broadcast_words(table: DataFrame, word: str, values: list[str], most: int =
     size, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.length(word)), F.lit(0))).first()
     found = None
     if size <= most and chars <= TABLE_CHARS:
-        found = table.sparkSession.sparkContext.broadcast(
-            {r[0]: r[1] if len(values) == 1 else tuple(r)[1:] for r in rows.collect()})
+        found = table.sparkSession.sparkContext.broadcast(rows.toArrow().combine_chunks())
     rows.unpersist()
     return found
 
@@ -37,10 +37,14 @@ def _flat(words: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """Distinct words, the place of every word among them, and the number of words per row."""
     encoded = words.flatten().dictionary_encode()
     sizes = pc.fill_null(pc.list_value_length(words), 0)
-    places = encoded.indices.to_numpy(zero_copy_only=False)
-    if encoded.indices.null_count:
-        places = np.where(np.isnan(places), -1, places)
-    return encoded.dictionary, places.astype(np.int64), sizes
+    places = pc.fill_null(encoded.indices, -1).to_numpy(zero_copy_only=False)
+    return encoded.dictionary, places, sizes
+
+
+def _known(words: pa.Array, table: pa.Table) -> pa.Array:
+    """The table's value of each word, NULL for words that it lacks."""
+    places = pc.index_in(words, value_set=pa.concat_arrays([pa.array([], type=words.type), *table.column(0).cast(words.type).chunks]))
+    return pa.concat_arrays([pa.array([], type=table.schema.field(1).type), *table.column(1).chunks]).take(places)
 
 
 def replace_words(words: Column, table: Broadcast) -> Column:
@@ -48,9 +52,8 @@ def replace_words(words: Column, table: Broadcast) -> Column:
 
     @F.arrow_udf("array<string>")
     def replaced(column: pa.Array) -> pa.Array:
-        known = table.value
         distinct, places, sizes = _flat(column)
-        values = pa.array([known.get(w, w) for w in distinct.to_pylist()], type=pa.string())
+        values = pc.coalesce(_known(distinct, table.value), distinct)
         taken = values.take(pa.array(places, mask=places < 0))
         offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), taken, mask=column.is_null())
@@ -61,21 +64,27 @@ def replace_words(words: Column, table: Broadcast) -> Column:
 def weigh_words(words: Column, table: Broadcast) -> Column:
     """array of (term, tf, weight) of a row's known words: tf times the table's weight, each row scaled to length 1."""
 
+    kind = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int64()), ("weight", pa.float64())]))
+
     @F.arrow_udf("array<struct<term:string,tf:bigint,weight:double>>")
     def weighed(column: pa.Array) -> pa.Array:
-        known = table.value
-        distinct, places, sizes = _flat(column)
-        weight = np.array([known.get(w, np.nan) for w in distinct.to_pylist()] + [np.nan])
-        row = np.repeat(np.arange(len(column)), sizes.to_numpy(zero_copy_only=False))
-        here = ~np.isnan(weight[places])
-        width = max(1, len(weight))
-        cells, tf = np.unique(row[here] * width + places[here], return_counts=True)
-        row, place = cells // width, cells % width
-        raw = tf * weight[place]
-        norm = np.sqrt(np.bincount(row, raw * raw, len(column)))
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(column)))]).astype(np.int32)
-        fields = [distinct.take(pa.array(place)).cast(pa.string()), pa.array(tf, type=pa.int64()), pa.array(raw / norm[row])]
-        entries = pa.StructArray.from_arrays(fields, names=["term", "tf", "weight"])
-        return pa.ListArray.from_arrays(pa.array(offsets), entries)
+        distinct, all_places, all_sizes = _flat(column)
+        weight = np.append(pc.fill_null(_known(distinct, table.value), np.nan).to_numpy(zero_copy_only=False), np.nan)
+        sizes = all_sizes.to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        width, out = len(weight), [pa.array([], type=kind)]
+        for at in range(0, len(column), SLICE):
+            n = min(SLICE, len(column) - at)
+            places = all_places[ends[at]:ends[at + n]]
+            here = ~np.isnan(weight[places])
+            row = np.repeat(np.arange(n), sizes[at:at + n])[here]
+            cells, tf = np.unique(row * width + places[here], return_counts=True)
+            row, place = cells // width, cells % width
+            raw = tf * weight[place]
+            norm = np.sqrt(np.bincount(row, raw * raw, n))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
+            fields = [distinct.take(pa.array(place)).cast(pa.string()), pa.array(tf, type=pa.int64()), pa.array(raw / norm[row])]
+            out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(fields, fields=list(kind.value_type))))
+        return pa.concat_arrays(out)
 
     return weighed(words)

@@ -166,3 +166,12 @@ def test_long_texts_are_split_once_for_all_runs(spark):
     began = time.monotonic()
     found = {r["k"]: r["entities"] for r in TX.gazetteer_entities(df, "k", "t", gazetteer).collect()}
     assert len(found[1]) == 20_000 and found[2] == [] and time.monotonic() - began < 30
+
+
+def test_more_terms_than_a_python_table_are_weighed_in_place(spark):
+    # 300,001 terms once went to a join that shuffles every token.
+    df = spark.range(300_001).select(F.col("id").alias("k"), F.array(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("w"))
+    found = FE.tfidf_terms(df, "k", "w", None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and sum("ArrowEvalPython" in line and "+-" in line for line in plan.splitlines()) == 1
+    assert found.agg(F.count("*"), F.min("weight"), F.max("tf")).first()[:] == (300_001, 1.0, 1)

@@ -230,3 +230,20 @@ def test_best_items_are_brute_force(monkeypatch):
     assert made < len(users) * len(items) / 2  # most items are never looked at
     few, _, _ = recommend.best_items(users, ids[:3], items[:3], norms[:3], 5)
     assert few.shape == (81, 3)
+
+
+def test_models_that_stand_still_take_no_part_in_later_passes(spark, monkeypatch):
+    rows = [(float(i % 3), Vectors.sparse(6, {i % 3: 1.0, 3 + i % 2: 0.5 + 0.1 * (i % 7)})) for i in range(60)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    widths, losses = [], linear._losses
+
+    def counted(blocks, weights, problems, ranges):
+        widths.append(weights.shape[1])
+        return losses(blocks, weights, problems, ranges)
+
+    problems = [linear.Problem(0, c=1e-6), linear.Problem(1, c=10.0)]
+    alone = linear.fit_linear_svms(df, 6, problems[1:])
+    monkeypatch.setattr(linear, "_losses", counted)
+    both = linear.fit_linear_svms(df, 6, problems)
+    assert widths[0] == 2 and widths[-1] == 1
+    assert np.allclose(both.weights[:, 1], alone.weights[:, 0], atol=1e-6)

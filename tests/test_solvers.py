@@ -101,6 +101,21 @@ def test_trees_save_and_edges(spark, points, tmp_path):
     assert one.transform(rows).first().prediction == 1.0
 
 
+def test_sums_meet_by_several_ranges_and_columns_are_found_without_a_copy(spark, points, monkeypatch):
+    monkeypatch.setattr(blocks, "TASK_ROWS", 80)
+    monkeypatch.setattr(trees, "RANGE_WORTH", 20, raising=False)
+    x, y = points
+    asked, bounds = [], []
+    real, search = trees._best_splits, np.searchsorted
+    monkeypatch.setattr(trees, "_best_splits", lambda parts, ranges, *a: asked.append(ranges) or real(parts, ranges, *a))
+    trees.fit_softmax_trees(sparse_table(spark, x, y), 3, 7, rounds=1, depth=1, bins=16)
+    assert asked == [min(spark.sparkContext.defaultParallelism, 7 * 16 // 20)]
+    block = trees.Block(np.arange(4, dtype=np.int32), np.array([1, 17, 18, 40], dtype=np.int32), 16)
+    monkeypatch.setattr(trees.np, "searchsorted", lambda a, v, **k: bounds.append(np.asarray(v).dtype) or search(a, v, **k))
+    rows, bins = block.column(1)
+    assert rows.tolist() == [1, 2] and bins.tolist() == [1, 2] and bounds == [np.dtype(np.int32)]
+
+
 def test_a_level_is_one_shuffle_of_sums(spark, points, monkeypatch):
     monkeypatch.setattr(blocks, "TASK_ROWS", 80)
     x, y = points

@@ -166,30 +166,49 @@ def _ranges(page: str, tag: str, marker: str) -> Iterator[tuple[int, int]]:
         yield start, ends.get(start) or (starts[i + 1] if i + 1 < len(starts) else len(page))
 
 
+def _in_bytes(page: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same ranges counted in bytes of UTF-8, in one pass over the page."""
+    if page.isascii():
+        return ranges
+    offsets, last, size = {}, 0, 0
+    for at in sorted({x for r in ranges for x in r}):
+        size += len(page[last:at].encode())
+        offsets[at], last = size, at
+    return [(offsets[a], offsets[b]) for a, b in ranges]
+
+
 def blocks(html: Column, *path: tuple[str, str]) -> Column:
     """All elements (tag, marker) with their tags and all they hold, nested ones as well; of a longer path, those inside the ones before.
 
     An element that several outer ones hold is given once for the innermost scan of each outermost element. NULL has none.
+    Python gives byte ranges only and the JVM cuts them, so a worker never holds the blocks of a batch of pages.
     """
 
-    def cut(page: str, steps: tuple[tuple[str, str], ...]) -> list[str]:
+    def cut(page: str, steps: tuple[tuple[str, str], ...], base: int = 0) -> list[tuple[int, int]]:
         found, done = [], 0
         for a, b in _ranges(page, *steps[0]):
             if len(steps) == 1:
-                found.append(page[a:b])
+                found.append((base + a, base + b))
             elif a >= done:
-                found += cut(page[a:b], steps[1:])
+                found += cut(page[a:b], steps[1:], base + a)
                 done = b
         return found
 
-    @F.arrow_udf("array<string>")
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))
+
+    @F.arrow_udf("array<struct<start:int,size:int>>")
     def run(pages: pa.Array) -> pa.Array:
-        out = []
+        out = [pa.array([], type=kind)]
         for at in range(0, len(pages), 256):
-            out.append(pa.array([cut(p or "", path) for p in pages.slice(at, 256).to_pylist()], type=pa.list_(pa.string())))
-        return pa.concat_arrays(out) if out else pa.array([], type=pa.list_(pa.string()))
+            ranges = [_in_bytes(p or "", cut(p or "", path)) for p in pages.slice(at, 256).to_pylist()]
+            out.append(pa.array([[{"start": a, "size": b - a} for a, b in r] for r in ranges], type=kind))
+        return pa.concat_arrays(out)
+
+    def pieces(page: Column) -> Column:
+        piece = lambda r: F.substring(page["bytes"], r["start"] + 1, r["size"]).cast("string")
+        return F.transform(page["ranges"], piece)
 
-    return run(html)
+    return let(F.struct(run(html).alias("ranges"), html.cast("binary").alias("bytes")), pieces)
 
 
 # Elements that do not break a line of text.

@@ -219,3 +219,24 @@ def test_line_breaks_survive_the_default_reader(spark, tmp_path):
     for multi_line in (False, True):
         back = R.read_reviews(spark, str(tmp_path / "out"), multi_line=multi_line)
         assert sorted(map(tuple, back.select("review_id", "review_text").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_python_gives_ranges_in_bytes_and_the_jvm_cuts(spark):
+    page = 'é€😀<div data-hook="review">äö<div>ü</div></div>ß<table><tr>ñ</tr><tr>x</tr></table>'
+    start = page.index("<div")
+    assert H._in_bytes(page, [(start, start + 4), (0, 3)]) == [(9, 13), (0, 9)]
+    rows = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    cut = rows.select(H.blocks(F.col("html"), ("div", "")).alias("d"), H.blocks(F.col("html"), ("table", ""), ("tr", "")).alias("t"))
+    assert [(r["d"], r["t"]) for r in cut.collect()] == [
+        (['<div data-hook="review">äö<div>ü</div></div>', "<div>ü</div>"], ["<tr>ñ</tr>", "<tr>x</tr>"]), ([], []), ([], [])]
+    assert "substring" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_small_file_of_parts_is_dealt_to_all_cores(spark, tmp_path):
+    from reviewmine.plans import tables as T
+
+    row = F.col("id").cast("string")
+    spark.range(500).select(F.col("id").alias("p_partkey"), row.alias("p_name"), row.alias("p_brand"), row.alias("p_type")).coalesce(
+        1).write.parquet(f"{tmp_path}/part.parquet")
+    pages = T.product_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and pages.select("p_partkey").distinct().count() == 500

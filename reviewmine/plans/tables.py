@@ -9,6 +9,12 @@ from ..functions.ratings import rating_number, recommends
 from ..sources.tables import read_table
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows of a table as stored, dealt to all cores where its files give fewer tasks: each row has much work before it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(3 * cores)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
 
@@ -246,7 +252,7 @@ CARDS_SQL = """cards as (
 def product_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Product pages with a specification table, bullets, both or neither."""
     key = F.col("p_partkey")
-    part = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    part = spread_rows(read_table(spark, folder, "part", ["p_partkey", "p_name", "p_brand", "p_type"]))
 
     def row(label: str, value: Column) -> Column:
         return F.concat(F.lit(f"<tr><th class='h'> {label} </th><td> "), value, F.lit(" </td></tr>"))

@@ -182,6 +182,14 @@ def test_als_grid(planted_ratings):
     assert min(table, key=lambda r: r["rmse"])["regParam"] == 0.01
 
 
+def test_als_grid_lets_go_of_each_fit(planted_ratings, monkeypatch):
+    calls = []
+    monkeypatch.setattr(RC.gc, "collect", lambda: calls.append(1) or 0)
+    triples, _, _ = RC.rating_triples(planted_ratings, "user", "item", "rating")
+    RC.search_als(triples.cache(), ranks=(2,), iters=(2,), regs=(0.01, 5.0), folds=2)
+    assert len(calls) == 4  # every setting of every fold
+
+
 @pytest.fixture(scope="module")
 def planted_topics(spark):
     rng = random.Random(5)

@@ -2,6 +2,7 @@
 
 Each step is one ``transform`` over the token array, so a whole review table is
 stemmed in the map stage: no shuffle, no Python worker, nothing to broadcast.
+``stem`` is the same for one lower-case word, for tasks that stem each different word once.
 The rules are M. F. Porter's (1980) with the usual later departures: short words
 stay, a few irregular forms, 'ies'/'ied' in four-letter words, 'y' only after a
 consonant, 'fulli' and 'logi'.
@@ -9,6 +10,9 @@ consonant, 'fulli' and 'logi'.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -205,3 +209,101 @@ def stem_tokens(words: Column) -> Column:
 def stem_text(words: Column) -> Column:
     """Stems joined by a space."""
     return F.array_join(stem_tokens(words), " ")
+
+
+# ---- one word ----------------------------------------------------------------------------
+
+
+_OTHERS = re.compile("[^aeiouy]")
+_Y_FIRST = re.compile("(^|v)y")
+_VOWELS = str.maketrans("aeiou", "vvvvv")
+_RULES2 = [*STEP2, ("logi", "log")]
+_RULES4 = [(s, "") for s in STEP4]
+_LINE_END = re.compile("(?:\r\n|[\n\r\x85\u2028\u2029])\\Z")  # '$' of the column form stands before it, too
+
+
+def _form(word: str) -> str:
+    s = _Y_FIRST.sub(r"\1c", _OTHERS.sub("c", word).translate(_VOWELS))
+    return s.replace("yy", "vc").replace("y", "v")
+
+
+def _many(stem: str) -> bool:
+    return _form(stem).count("vc") > 1
+
+
+def _ends(word: str, ends: tuple[str, ...]) -> bool:
+    return word.endswith(ends) or _LINE_END.sub("", word).endswith(ends)
+
+
+def _short(stem: str) -> bool:
+    form = _form(stem)
+    return (form.endswith("cvc") and not _ends(stem, ("w", "x", "y"))) or form == "vc"
+
+
+def _changed(word: str, rules: list[tuple[str, str]], condition: Callable[[str, str], bool]) -> str:
+    for suffix, new in rules:  # the first fitting suffix decides
+        if word.endswith(suffix):
+            kept = word[:-len(suffix)]
+            return kept + new if condition(suffix, kept) else word
+    return word
+
+
+def _without_past(w: str) -> str:
+    if w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
+    if w.endswith("eed"):
+        return w[:-1] if "vc" in _form(w[:-3]) else w
+    if w.endswith("ed") and "v" in _form(w[:-2]):
+        w = w[:-2]
+    elif w.endswith("ing") and "v" in _form(w[:-3]):
+        w = w[:-3]
+    else:
+        return w
+    if _ends(w, ("at", "bl", "iz")):
+        return w + "e"
+    form = _form(w)
+    if len(w) > 1 and w[-1] == w[-2] and form.endswith("c"):
+        return w if w[-1] in "lsz" else w[:-1]
+    return w + "e" if form.count("vc") == 1 and _short(w) else w
+
+
+def stem(word: str) -> str:
+    """Stem of one word in lower case, as ``stem_tokens`` gives it."""
+    if len(word) <= 2:
+        return word
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    w = word
+    if w.endswith("s"):
+        w = (w[:-1] if len(w) == 4 else w[:-2]) if w.endswith("ies") else w[:-2] if w.endswith("sses") else w if w.endswith("ss") else w[:-1]
+    w = _without_past(w)
+    if w.endswith("y") and len(w) > 2 and _form(w[:-1]).endswith("c"):
+        w = w[:-1] + "i"
+    if w.endswith("alli") and "vc" in _form(w[:-4]):
+        w = w[:-2]
+    w = _changed(w, _RULES2, lambda s, kept: "vc" in _form(kept + "l" if s == "logi" else kept))
+    w = _changed(w, STEP3, lambda s, kept: "vc" in _form(kept))
+    w = _changed(w, _RULES4, lambda s, kept: _many(kept) and (s != "ion" or _ends(kept, ("s", "t"))))
+    if w.endswith("e"):
+        measure = _form(w[:-1]).count("vc")
+        if measure > 1 or (measure == 1 and not _short(w[:-1])):
+            w = w[:-1]
+    return w[:-1] if w.endswith("ll") and _many(w[:-1]) else w
+
+
+_KNOWN: dict[str, str] = {}  # of this worker process
+
+
+def stems_of(words: Sequence[str], most: int) -> list[str]:
+    """Stems of words in lower case; a worker remembers up to ``most`` of them."""
+    out = []
+    for word in words:
+        found = _KNOWN.get(word)
+        if found is None:
+            found = stem(word)
+            if len(_KNOWN) >= most:
+                _KNOWN.clear()
+            if most:
+                _KNOWN[word] = found
+        out.append(found)
+    return out

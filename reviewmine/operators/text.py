@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions import text as X
-from ..functions.porter import stem_tokens
 from ..functions.stopwords import ENGLISH
 from .joins import lookup_join
-from .words import TABLE_WORDS, broadcast_words, replace_words
+from .words import TABLE_WORDS, WORKER_STEMS, broadcast_words, replace_words, stem_words
 
 
 def explode_words(
@@ -46,21 +45,14 @@ def distinct_words(df: DataFrame, words: Column) -> DataFrame:
 
 
 def with_stems(
-    df: DataFrame, tokens: str = "filtered", out: str = "stems", joined: bool = False, most: int = TABLE_WORDS
+    df: DataFrame, tokens: str = "filtered", out: str = "stems", joined: bool = False, most: int = WORKER_STEMS
 ) -> DataFrame:
     """Stems of a token array, as an array or joined by a space.
 
-    Each different word is stemmed once and rows look their stems up. Beyond ``most`` different words, and
-    in streams, every token is stemmed where it stands; no token is shuffled either way.
+    Texts are read once and no token is shuffled: rows are stemmed batch by batch, each different word of a batch once, and
+    workers remember up to ``most`` stems between batches.
     """
-    words = X.no_null_array(F.col(tokens))
-    stems = stem_tokens(words)
-    if not df.isStreaming:
-        each = distinct_words(df, words).where("word <> ''").withColumn("stem", F.get(stem_tokens(F.array("word")), F.lit(0)))
-        table = broadcast_words(each, "word", ["stem"], most)
-        if table is not None:
-            stems = replace_words(words, table)
-    return df.withColumn(out, F.array_join(stems, " ") if joined else stems)
+    return df.withColumn(out, stem_words(F.transform(X.no_null_array(F.col(tokens)), F.lower), joined, most))
 
 
 def with_ngrams(df: DataFrame, tokens: str, n: int, out: str = "ngrams", drop_blank: bool = False) -> DataFrame:

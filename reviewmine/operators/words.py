@@ -14,8 +14,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.porter import stems_of
+
 TABLE_WORDS = 4_000_000  # words of a broadcast table
 TABLE_CHARS = 64_000_000
+WORKER_STEMS = 500_000  # stems that a worker remembers
 SLICE = 512  # rows that are weighed at one time
 
 
@@ -61,6 +64,23 @@ def replace_words(words: Column, table: Broadcast) -> Column:
     return replaced(words)
 
 
+def stem_words(words: Column, joined: bool = False, most: int = WORKER_STEMS) -> Column:
+    """Stems of an array of words in lower case, as an array or joined by a space. Each different word of a batch is stemmed once."""
+
+    @F.arrow_udf("string" if joined else "array<string>")
+    def stemmed(column: pa.Array) -> pa.Array:
+        distinct, places, sizes = _flat(column)
+        stems = pa.array(stems_of(distinct.to_pylist(), most), type=pa.string()).take(pa.array(places, mask=places < 0))
+        ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])
+        if joined and stems.null_count:
+            ends = np.concatenate([[0], np.cumsum(places >= 0)])[ends]
+            stems = stems.drop_null()
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), stems, mask=column.is_null())
+        return pc.binary_join(lists, " ") if joined else lists
+
+    return stemmed(words)
+
+
 def weigh_words(words: Column, table: Broadcast) -> Column:
     """array of (term, tf, weight) of a row's known words: tf times the table's weight, each row scaled to length 1."""
 

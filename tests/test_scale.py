@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from reviewmine.operators import features as FE
 from reviewmine.operators import joins
 from reviewmine.functions import text as X
+from reviewmine.functions.porter import stem_tokens
 from reviewmine.operators import ordering as O
 from reviewmine.operators import text as TX
 from reviewmine.operators.stats import bootstrap_intervals, hash_sample, top_per_group
@@ -175,3 +176,21 @@ def test_more_terms_than_a_python_table_are_weighed_in_place(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and sum("ArrowEvalPython" in line and "+-" in line for line in plan.splitlines()) == 1
     assert found.agg(F.count("*"), F.min("weight"), F.max("tf")).first()[:] == (300_001, 1.0, 1)
+
+
+def test_stems_need_no_pass_over_all_words(spark, monkeypatch):
+    """Each batch stems its own words, however many the texts hold; equal to the column form."""
+    def refused(*a, **b):
+        raise AssertionError("all words are gathered first")
+
+    monkeypatch.setattr(TX, "broadcast_words", refused)
+    draw = random.Random(5)
+    ends = ["", "s", "ies", "ed", "ing", "eed", "ational", "logi", "ion", "sion", "ll", "alli", "y", "e", "at ed", "\x85"]
+    words = ["".join(draw.choices("aeiouybcdlstwxzÉ", k=draw.randint(0, 5))) + draw.choice(ends) + draw.choice(ends) for _ in range(600)]
+    rows = [(i, draw.choices([*words, "Dying", None], k=9)) for i in range(200)] + [(900, None), (901, []), (902, [""])]
+    df = spark.createDataFrame(rows, "k int, w array<string>")
+    column = stem_tokens(X.no_null_array(F.col("w")))
+    want = sorted(map(str, df.select("k", column.alias("s"), F.array_join(column, " ").alias("j")).collect()))
+    for most in (0, 7, 1000):
+        got = TX.with_stems(TX.with_stems(df, "w", "s", most=most), "w", "j", joined=True, most=most)
+        assert sorted(map(str, got.select("k", "s", "j").collect())) == want

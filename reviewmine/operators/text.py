@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions import text as X
 from ..functions.stopwords import ENGLISH
+from ..session import cut_lineage
 from .joins import lookup_join
 from .words import TABLE_WORDS, WORKER_STEMS, broadcast_words, replace_words, stem_words
 
@@ -80,8 +81,36 @@ def ngram_counts(
     return grams.groupBy(*by, out).agg(F.count("*").alias("n"))
 
 
+GRAM_BUCKETS = 1 << 16  # numbers that come to the driver before n-grams are counted by themselves
+FEW_GRAMS = 100  # of which the most frequent are found by their buckets
+
+
 def top_ngrams(df: DataFrame, tokens: str, n: int, k: int = 50, out: str = "ngram") -> DataFrame:
-    return ngram_counts(df, tokens, n, (), out).orderBy(F.desc("n"), out).limit(k)
+    """The k most frequent n-grams, ties by spelling.
+
+    For few of them all n-grams are first counted by GRAM_BUCKETS hash buckets, which is a bound for each n-gram in a bucket.
+    Those of the fullest buckets are then counted by themselves; the k-th of these counts is at most the k-th of all, so
+    buckets below it hold none of the k. Buckets that reach it are counted, too. So n-grams that occur a few
+    times are neither gathered nor shuffled. Reads ``df`` up to three times.
+    """
+    best = [F.desc("n"), F.col(out)]
+    if k > FEW_GRAMS or df.isStreaming:
+        return ngram_counts(df, tokens, n, (), out).orderBy(*best).limit(k)
+    grams = explode_ngrams(df, tokens, n, (), out)
+    bucket = F.xxhash64(out).bitwiseAND(F.lit(GRAM_BUCKETS - 1))
+    sizes = {r["bucket"]: r["n"] for r in grams.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).collect()}
+
+    def counted(buckets: list[int]) -> DataFrame:
+        return grams.where(bucket.isin(buckets)).groupBy(out).agg(F.count("*").alias("n")).orderBy(*best).limit(k)
+
+    full = sorted(sizes, key=sizes.get, reverse=True)
+    first = cut_lineage(counted(full[:4 * k]))
+    found = first.agg(F.count("*"), F.min("n")).first()
+    least = found[1] if found[0] == k else 1
+    others = [b for b in full[4 * k:] if sizes[b] >= least]
+    if not others:
+        return first.orderBy(*best)
+    return first.unionByName(counted(others)).orderBy(*best).limit(k)
 
 
 def ngram_cloud(counts: DataFrame, ngram: str = "ngram", count: str = "n", divisor: int = 100) -> DataFrame:

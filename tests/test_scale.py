@@ -194,3 +194,18 @@ def test_stems_need_no_pass_over_all_words(spark, monkeypatch):
     for most in (0, 7, 1000):
         got = TX.with_stems(TX.with_stems(df, "w", "s", most=most), "w", "j", joined=True, most=most)
         assert sorted(map(str, got.select("k", "s", "j").collect())) == want
+
+
+def test_few_top_ngrams_are_found_without_counting_all(spark, monkeypatch):
+    """Rare n-grams are counted by bucket only; whatever the buckets, the rows are those of the whole count."""
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(draw.choices(words, weights=range(12, 0, -1), k=draw.randint(0, 9)),) for _ in range(150)] + [(None,), ([],), (["", "", "w1"],)]
+    df = spark.createDataFrame(rows, "w array<string>")
+    want = {(n, k): list(map(tuple, TX.ngram_counts(df, "w", n).orderBy(F.desc("n"), "ngram").limit(k).collect())) for n in (1, 3) for k in (2, 40)}
+    monkeypatch.setattr(TX, "ngram_counts", None)
+    for buckets in (1, 64, 1 << 16):
+        monkeypatch.setattr(TX, "GRAM_BUCKETS", buckets)
+        for (n, k), counted in want.items():
+            assert list(map(tuple, TX.top_ngrams(df, "w", n, k).collect())) == counted
+    assert TX.top_ngrams(df.where("w is null"), "w", 2, 5).count() == 0

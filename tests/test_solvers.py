@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from reviewmine.operators import blocks, linear, recommend, svd, trees
+from reviewmine.operators import blocks, clusters, linear, recommend, svd, trees
 
 
 def sparse_table(spark, matrix, labels, dense_every=3):
@@ -226,6 +226,50 @@ def test_svd_of_low_rank_and_of_nothing(spark):
         svd.fit_truncated_svd(table, 1 << 24, 5)
 
 
+# ---- clusters ----------------------------------------------------------------------------
+
+
+def test_clusters_stand_at_the_means_of_their_rows(spark, points, tmp_path, monkeypatch):
+    x, _ = points
+    monkeypatch.setattr(blocks, "TASK_ROWS", 50)
+    monkeypatch.setattr(clusters, "BLOCK_ENTRIES", 100)
+    monkeypatch.setattr(clusters, "CHUNK", 64)
+    monkeypatch.setattr(clusters, "PASS_BYTES", 1)  # one start after the other
+    table = sparse_table(spark, x, x[:, 0])
+    model = clusters.fit_clusters(table, k=4, restarts=3, max_iter=60)
+    got = np.array([r.prediction for r in model.transform(table).orderBy("key").collect()])
+    distances = ((x[:, None] - model.centres) ** 2).sum(axis=2)
+    assert (got == distances.argmin(axis=1)).all() and model.centres.shape == (4, 7)
+    assert np.allclose(model.centres, [x[got == j].mean(axis=0) for j in range(4)])
+    cost = distances.min(axis=1).sum()
+    monkeypatch.undo()
+    assert np.isclose(cost, ((x[:, None] - clusters.fit_clusters(table, k=4, restarts=3, max_iter=60).centres) ** 2).sum(axis=2).min(axis=1).sum(), rtol=0.1)
+    again = clusters.Clusters.load(model.save(str(tmp_path / "clusters")))
+    assert (again.centres == model.centres).all() and len(again.clusterCenters()) == 4
+
+
+def test_clusters_of_few_different_rows(spark):
+    x = np.array([[1.0, 0.0, 0.0]] * 5 + [[0.0, 2.0, 0.0]] * 3 + [[0.0, 0.0, 0.0]] * 2)
+    model = clusters.fit_clusters(sparse_table(spark, x, x[:, 0]), k=5, restarts=2)
+    assert sorted(map(tuple, model.centres)) == [(0, 0, 0), (0, 2, 0), (1, 0, 0)]
+    with pytest.raises(ValueError):
+        clusters.fit_clusters(sparse_table(spark, x, x[:, 0]).limit(0))
+
+
+def test_passes_of_clusters_bring_no_centres_to_the_driver(spark, monkeypatch):
+    width = 200_000  # ten centres are 16 MB
+    rows = [(Vectors.sparse(width, sorted({i * 37 % width, i * 7919 % width, i % 5}), [1.0] * len({i * 37 % width, i * 7919 % width, i % 5})),)
+            for i in range(1, 400)]
+    table = spark.createDataFrame(rows, StructType([StructField("features", VectorUDT())]))
+    monkeypatch.setattr(clusters, "_centres", lambda *a: np.zeros((10, 1)))
+    conf = spark.sparkContext._jsc.sc().conf()
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        assert clusters.fit_clusters(table, k=10, restarts=2, max_iter=3).centres.shape == (10, 1)
+    finally:
+        conf.remove("spark.driver.maxResultSize")
+
+
 # ---- recommendation ----------------------------------------------------------------------
 
 

@@ -226,6 +226,22 @@ def test_svd_of_low_rank_and_of_nothing(spark):
         svd.fit_truncated_svd(table, 1 << 24, 5)
 
 
+def test_svd_in_groups_of_columns_and_vectors_brings_small_factors(spark, points, monkeypatch):
+    x, _ = points
+    monkeypatch.setattr(svd, "TASK_CELLS", 600)  # three groups of the rows' images
+    monkeypatch.setattr(svd, "RANGE_CELLS", 14)  # two vectors at a time
+    monkeypatch.setattr(svd, "CHUNK", 50)
+    table = sparse_table(spark, x, x[:, 0])
+    calls = []
+    gathered = svd.TruncatedSVD.gathered
+    monkeypatch.setattr(svd.TruncatedSVD, "gathered", lambda self, a, b: calls.append((a, b)) or gathered(self, a, b))
+    model = svd.fit_truncated_svd(table, 7, 5)
+    assert not calls and np.allclose(model.products(), np.eye(5), atol=1e-12)
+    got = np.array([r.point for r in model.transform(table).orderBy("key").collect()])
+    assert calls == [(0, 2), (2, 4), (4, 5)]
+    assert np.allclose(got, x @ model.vectors) and np.allclose(np.linalg.norm(got, axis=0), np.linalg.svd(x)[1][:5])
+
+
 # ---- clusters ----------------------------------------------------------------------------
 
 

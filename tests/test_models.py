@@ -229,6 +229,18 @@ def test_clusters_and_their_words(planted_topics):
     assert len(top) == 9 and all(len(v) == 1 for v in letters.values())
 
 
+def test_terms_go_to_the_jvm_in_one_text(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    rows = spark.createDataFrame([(1, "rare bb bb"), (2, "bb cc"), (3, None)], "doc_id long, text string")
+    monkeypatch.setattr(CountVectorizerModel, "_new_java_array", None)  # two calls a term
+    model, terms = FE.fit_vectorizer(rows, "text", None, tfidf=False)
+    assert terms == ["bb", "cc", "rare"]
+    found = {r.doc_id: r.features.toArray().tolist() for r in model.transform(rows).collect()}
+    assert found == {1: [2, 0, 1], 2: [1, 1, 0], 3: [0, 0, 0]}
+    assert [list(s.vocabulary) for s in model.stages if isinstance(s, CountVectorizerModel)] == [terms]
+
+
 def test_vocabulary_without_size_is_whole_or_refused(planted_topics, monkeypatch):
     _, every = FE.fit_vectorizer(planted_topics, "t", None)
     words = FE.vocabulary(planted_topics.select(FE.X.word_tokens(F.col("t")).alias("w")), "w", None)

@@ -286,6 +286,31 @@ def test_passes_of_clusters_bring_no_centres_to_the_driver(spark, monkeypatch):
         conf.remove("spark.driver.maxResultSize")
 
 
+def test_fits_leave_no_blocks_behind_and_numbers_come_back(spark, points, monkeypatch):
+    x, _ = points
+    for kind in (np.uint16, np.int32, np.float64):
+        for n in (0, 1, 1000):
+            own = np.random.default_rng(n).integers(0, 60_000, n).astype(kind)
+            assert (blocks.unsqueezed(blocks.squeezed(own), n, kind) == own).all()
+    table, written = sparse_table(spark, x, x[:, 0]), []
+    for module in (clusters, svd):
+        stored = module.stored_blocks
+        monkeypatch.setattr(module, "stored_blocks", lambda *a, stored=stored, **k: written.append(stored(*a, **k)) or written[-1])
+    clusters.fit_clusters(table, k=2, restarts=1, max_iter=1)
+    svd.fit_truncated_svd(table, 7, 2)
+    assert len(written) == 2
+    for df in written:
+        with pytest.raises(Exception):
+            df.count()
+
+
+def test_groups_of_images_stay_within_the_bytes_of_a_pass():
+    n, slices, most = 500_000, 6, 1 << 29
+    groups = svd._groups(np.eye(60), n, slices, most)
+    assert all(16 * slices * n * g.shape[1] <= most for g in groups) and (np.hstack(groups) == np.eye(60)).all()
+    assert len(svd._groups(np.eye(60), 100, slices, most)) == 1
+
+
 # ---- recommendation ----------------------------------------------------------------------
 
 
